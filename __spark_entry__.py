@@ -17,13 +17,13 @@ from ballstats.functions import parse  # noqa: E402
 from ballstats.operators import fanout, landing, metrics, reconcile, stats, topk  # noqa: E402
 from ballstats.plans import batch  # noqa: E402
 from ballstats.plans.catalog import METRICS  # noqa: E402
-from ballstats.sources import fixture, topics  # noqa: E402
+from ballstats.sources import files, fixture, topics  # noqa: E402
 from ballstats.streaming import runner  # noqa: E402
 from oracles import ORACLES  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Streams of messages are read in at least this many micro-batches, however many files there are.
+# Streams of message files are read in this many micro-batches, however many files there are.
 MICRO_BATCHES = 3
 RECONCILED = ("top_wicket_takers", "highest_scorers", "run_rate_team")
 
@@ -60,9 +60,9 @@ def _streamed(name: str, mode: str = "complete") -> Query:
 def _message_stream(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     """The topic written out as messages and read back as a stream of several micro-batches."""
     path = session.fresh_path(spark, f"topic-{topic}")
-    messages = fanout.topic_messages(_deliveries(spark, sf_dir), topic)
-    files = topics.write_topic_files(messages, path, min_files=MICRO_BATCHES)
-    return topics.stream_topic_files(session.for_streams(spark), path, [topic], ceil(files / MICRO_BATCHES))
+    pieces = files.spread(fixture.lineitem(spark, sf_dir))
+    n = topics.write_topic_files(fanout.topic_messages(fixture.deliveries(pieces), topic), path)
+    return topics.stream_topic_files(session.for_streams(spark), path, [topic], ceil(n / MICRO_BATCHES))
 
 
 def _upserted(name: str) -> Query:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,10 +50,43 @@ def encode(*fields: str | Column) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
+_MALFORMED = "_malformed"
+
+
+def _parsed(messages: DataFrame, names: list[str]) -> DataFrame:
+    # ``inline`` keeps later filters on the fields above the parsing. Without it they are pushed
+    # below, and the text is parsed again for every field they name.
+    schema = schemas.strings([*names, _MALFORMED])
+    fields = F.from_json("value", schema, {"columnNameOfCorruptRecord": _MALFORMED})
+    text = messages.select(F.col("value").cast("string").alias("value"))
+    return text.select(F.inline(F.when(F.trim("value") != "", F.array(fields))))
+
+
+def _readable(messages: DataFrame, names: list[str]) -> DataFrame:
+    return _parsed(messages, names).where(F.col(_MALFORMED).isNull()).drop(_MALFORMED)
+
+
 def decode(messages: DataFrame, topic: str) -> DataFrame:
-    """Fields of a topic's messages as text; an unreadable message gives a row of nulls."""
-    text = F.col("value").cast("string")
-    return messages.select(F.from_json(text, schemas.topic_schema(topic)).alias("data")).select("data.*")
+    """Fields of a topic's messages as text; unreadable messages are left out, see :func:`malformed`.
+
+    Unknown keys are dropped, missing ones become null, and a number is taken as its text.
+    """
+    return _readable(messages, schemas.TOPIC_FIELDS[topic])
+
+
+def malformed(messages: DataFrame, topic: str) -> DataFrame:
+    """The ``value`` of the messages that :func:`decode` leaves out, but for blank ones."""
+    bad = _parsed(messages, schemas.TOPIC_FIELDS[topic]).where(F.col(_MALFORMED).isNotNull())
+    return bad.select(F.col(_MALFORMED).alias("value"))
+
+
+def decode_raw(messages: DataFrame) -> DataFrame:
+    """Whole deliveries out of raw messages, whichever spellings they use."""
+    rows = _readable(messages, [*schemas.RAW_FIELDS, "ball", *schemas.FIELD_ALIASES])
+    for alias, name in schemas.FIELD_ALIASES.items():
+        rows = rows.withColumn(name, F.coalesce(name, alias))
+    over = F.when(F.col("ball").isNull(), F.col("over")).otherwise(F.concat_ws(".", "over", "ball"))
+    return rows.withColumn("over", over).select(*schemas.RAW_FIELDS)
 
 
 def checked(messages: DataFrame) -> DataFrame:
@@ -63,7 +99,7 @@ def checked(messages: DataFrame) -> DataFrame:
     parsed = messages.withColumn("fields", F.from_json(text, "map<string,string>"))
     complete = F.lit(None).cast("boolean")
     for topic, names in schemas.TOPIC_FIELDS.items():
-        has_all = F.forall(F.array(*map(F.lit, names)), lambda name: F.map_contains_key("fields", name))
+        has_all = reduce(and_, (F.map_contains_key("fields", name) for name in names))
         complete = F.when(F.col("topic") == topic, has_all).otherwise(complete)
     problem = (
         F.when(F.col("topic").isNull() | ~F.col("topic").isin(*schemas.TOPIC_FIELDS), "unknown topic")

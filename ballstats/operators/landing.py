@@ -80,6 +80,23 @@ def absent_matches(candidates: DataFrame, existing: DataFrame) -> DataFrame:
     return candidates.join(existing.select("match_id"), "match_id", "left_anti")
 
 
+def create_matches(spark: SparkSession, path: str) -> None:
+    """An empty dimension, unless there is one."""
+    columns = ", ".join(f"`{name}` string" for name in schemas.MATCH_FIELDS) + ", ingest_date date"
+    spark.createDataFrame([], columns).write.mode("ignore").parquet(f"{path}/batch_id=-1")
+
+
+def insert_matches(deliveries: DataFrame, path: str, batch_id: int) -> None:
+    """Add the matches the dimension lacks; the same batch again replaces its own rows only."""
+    others = read_matches(deliveries.sparkSession, path).where(F.col("batch_id") != batch_id)
+    new = with_ingest_date(absent_matches(matches(deliveries), others))
+    new.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def read_matches(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def with_ingest_date(df: DataFrame) -> DataFrame:
     """The day the rows were taken in."""
     return df.withColumn("ingest_date", F.current_date())
@@ -91,13 +108,17 @@ def facts(deliveries: DataFrame) -> DataFrame:
     ``over`` may come split in two columns or as ``o.b``.
     """
     columns = deliveries.columns
-    pieces = F.split(F.col("over").cast("string"), r"\.") if "over" in columns else None
+    over = F.col("over").cast("string")
+    pieces = {
+        "over_num": F.substring_index(over, ".", 1),
+        "ball_num": F.when(F.contains(over, F.lit(".")), F.substring_index(over, ".", -1)),
+    }
     sources: dict[str, Column] = {}
     for name, kind in schemas.FACT_TYPES.items():
         if name in columns:
             value = F.col(name)
-        elif name in ("over_num", "ball_num") and pieces is not None:
-            value = F.get(pieces, F.lit(0 if name == "over_num" else 1))
+        elif name in pieces and "over" in columns:
+            value = pieces[name]
         else:
             value = F.lit(None)
         value = value.try_cast(kind)

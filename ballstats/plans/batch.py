@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ballstats import session
 from ballstats.functions import wickets
 from ballstats.operators.metrics import SCORE_KEYS
-from ballstats.plans.catalog import METRICS
+from ballstats.plans.catalog import METRICS, Metric
 
 _SUMMED = ["runs_of_bat", "extras", "total_runs", "balls"]
 
@@ -26,6 +26,9 @@ def rollup(deliveries: DataFrame) -> DataFrame:
     return deliveries.groupBy(*SCORE_KEYS, phase).agg(*[F.sum(name).alias(name) for name in summed])
 
 
+PHASE_SCORES = Metric("phase_scores", "rate", rollup, (*SCORE_KEYS, "over"))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, and safe from lost executors."""
     path = session.fresh_path(df.sparkSession, name)

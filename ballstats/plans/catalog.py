@@ -19,7 +19,8 @@ class Metric:
     """``aggregate`` works on static and streaming input; ``finish`` and the order on static only.
 
     ``keys`` identify a row of the aggregate. ``order`` lists columns, ``-name`` for descending;
-    it ends in the keys so that equal measures come out in one order.
+    it ends in the keys so that equal measures come out in one order. ``every`` is the trigger
+    interval of the live query; None starts a batch as soon as the last one is done.
     """
 
     name: str
@@ -28,6 +29,7 @@ class Metric:
     keys: tuple[str, ...] = ()
     order: tuple[str, ...] = ()
     finish: Step | None = None
+    every: str | None = None
 
     def show(self, aggregated: DataFrame) -> DataFrame:
         """The result as presented, from the aggregate."""
@@ -45,8 +47,22 @@ _INNINGS = tuple(schemas.INNINGS_KEYS)
 METRICS: dict[str, Metric] = {
     metric.name: metric
     for metric in [
-        Metric("top_wicket_takers", "bowler", metrics.wickets_by_bowler, ("bowler",), ("-wickets_taken", "bowler")),
-        Metric("dismissal_types", "bowler", metrics.dismissal_types, ("wicket_type",), ("-count", "wicket_type")),
+        Metric(
+            "top_wicket_takers",
+            "bowler",
+            metrics.wickets_by_bowler,
+            ("bowler",),
+            ("-wickets_taken", "bowler"),
+            every="5 seconds",
+        ),
+        Metric(
+            "dismissal_types",
+            "bowler",
+            metrics.dismissal_types,
+            ("wicket_type",),
+            ("-count", "wicket_type"),
+            every="5 seconds",
+        ),
         Metric("caught_dismissals", "bowler", metrics.caught_batters),
         Metric(
             "highest_scorers",
@@ -77,6 +93,7 @@ METRICS: dict[str, Metric] = {
             (*_INNINGS, "striker"),
             (*_INNINGS, "striker"),
             topk.top_scorers,
+            every="5 seconds",
         ),
         Metric(
             "top_scorer_match_innings_join",
@@ -92,11 +109,19 @@ METRICS: dict[str, Metric] = {
             metrics.run_rate_match,
             ("match_id", "innings", "batting_team"),
             ("match_id", "innings", "batting_team"),
+            every="5 seconds",
         ),
         Metric(
             "run_rate_team", "rate", metrics.run_rate_team, ("batting_team",), ("-overall_run_rate", "batting_team")
         ),
-        Metric("run_rate_striker", "rate", metrics.run_rate_striker, ("striker",), ("-run_rate", "striker")),
+        Metric(
+            "run_rate_striker",
+            "rate",
+            metrics.run_rate_striker,
+            ("striker",),
+            ("-run_rate", "striker"),
+            every="5 seconds",
+        ),
         Metric(
             "run_rate_powerplay",
             "rate",
@@ -109,10 +134,16 @@ METRICS: dict[str, Metric] = {
     ]
 }
 
-# What one submitted job computes.
+# What one submitted job computes, and where its topics are read from at first.
 JOBS: dict[str, tuple[str, ...]] = {
     "bowling": ("top_wicket_takers", "dismissal_types", "caught_dismissals"),
     "overall_scorers": ("highest_scorers",),
     "match_scorers": ("top_scorer_match_innings",),
     "run_rate": ("run_rate_match", "run_rate_team", "run_rate_striker", "run_rate_powerplay"),
 }
+STARTING: dict[str, str] = {
+    "bowling": "latest",
+    "overall_scorers": "earliest",
+    "match_scorers": "earliest",
+    "run_rate": "latest",
+}

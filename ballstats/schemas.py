@@ -43,6 +43,9 @@ CSV_FIELDS = [
     "wicket_type", "player_dismissed", "fielder",
 ]
 
+# Fields looked for in a raw delivery message.
+RAW_FIELDS = [*CSV_FIELDS, "non_striker", "penalty_runs"]
+
 MATCH_FIELDS = ["match_id", "season", "match_no", "date", "venue"]
 
 # The deliveries fact table, in column order.

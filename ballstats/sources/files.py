@@ -24,3 +24,12 @@ def stream_csv(
     """CSV files as they appear in a directory; ``fields`` are the columns in file order."""
     reader = spark.readStream.schema(schemas.strings(fields or schemas.CSV_FIELDS)).option("header", True)
     return _blank_for_missing(reader.option("maxFilesPerTrigger", max_files_per_trigger).csv(path))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a part of an input that comes in fewer pieces, before costly work per row.
+
+    An input of at least as many pieces is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

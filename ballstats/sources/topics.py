@@ -42,16 +42,10 @@ def write_kafka(messages: DataFrame, servers: str) -> None:
     messages.select("topic", "value").write.format("kafka").option("kafka.bootstrap.servers", servers).save()
 
 
-def write_topic_files(messages: DataFrame, path: str, min_files: int = 1) -> int:
-    """Append messages to their topics' directories, each topic in at least ``min_files`` files.
-
-    Returns the number of files per topic. There is a shuffle only if the input has fewer splits.
-    """
-    splits = messages.rdd.getNumPartitions()
-    if splits < min_files:
-        messages, splits = messages.repartition(min_files), min_files
+def write_topic_files(messages: DataFrame, path: str) -> int:
+    """Append messages to their topics' directories; returns the number of files per topic."""
     messages.select("topic", "value").write.mode("append").partitionBy("topic").parquet(path)
-    return splits
+    return messages.rdd.getNumPartitions()
 
 
 def read_topic_files(spark: SparkSession, path: str, topics: Sequence[str]) -> DataFrame:

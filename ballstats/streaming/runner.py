@@ -2,11 +2,13 @@
 
 Every query keeps its checkpoint under its own path, so it continues where it stopped, and
 names itself. ``trigger`` is what ``DataStreamWriter.trigger`` takes, e.g.
-``{"processingTime": "5 seconds"}`` or ``{"availableNow": True}``; None runs batch after batch.
+``{"processingTime": "5 seconds"}`` or ``ONCE``; an empty one runs batch after batch.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -15,17 +17,21 @@ from ballstats.operators import landing
 from ballstats.plans.catalog import Metric
 from ballstats.streaming import sinks
 
-Trigger = dict[str, str | bool] | None
-LIVE: Trigger = {"processingTime": "5 seconds"}
+Trigger = dict[str, str | bool]
+# Take in what is there by now, and end.
 ONCE: Trigger = {"availableNow": True}
 
 
+def live(metric: Metric) -> Trigger:
+    return {"processingTime": metric.every} if metric.every else {}
+
+
 def decoded(messages: DataFrame, topic: str) -> DataFrame:
     """Typed deliveries out of a topic's messages."""
     return parse.typed(parse.decode(messages, topic))
 
 
-def _writer(df: DataFrame, name: str, path: str | None, mode: str, trigger: Trigger) -> DataStreamWriter:
+def _writer(df: DataFrame, name: str, path: str | None, mode: str, trigger: Trigger | None) -> DataStreamWriter:
     writer = df.writeStream.queryName(name).outputMode(mode)
     if path:
         writer = writer.option("checkpointLocation", f"{path}/checkpoint")
@@ -33,15 +39,16 @@ def _writer(df: DataFrame, name: str, path: str | None, mode: str, trigger: Trig
 
 
 def start_metric(
-    deliveries: DataFrame, metric: Metric, path: str, mode: str = "complete", trigger: Trigger = LIVE
+    deliveries: DataFrame, metric: Metric, path: str, mode: str = "complete", trigger: Trigger | None = None
 ) -> StreamingQuery:
     """Keep a metric's result under ``path``.
 
     ``complete`` stores the full result at each trigger. ``update`` stores changed rows only,
     which is the one to take when there are many keys. ``append`` is for metrics without an
-    aggregate.
+    aggregate. The trigger is the metric's own unless another is given.
     """
     data = f"{path}/data"
+    trigger = live(metric) if trigger is None else trigger
     writer = _writer(metric.aggregate(deliveries), metric.name, path, mode, trigger)
     if mode == "append":
         return writer.format("parquet").option("path", data).start()
@@ -57,17 +64,20 @@ def read_metric(spark: SparkSession, metric: Metric, path: str, mode: str = "com
         return metric.show(spark.read.parquet(data))
     if mode == "update":
         return metric.show(sinks.read_changes(spark, data, metric.keys))
-    # A snapshot is finished already.
-    return Metric(metric.name, metric.topic, metric.aggregate, metric.keys, metric.order).show(
-        sinks.read_snapshot(spark, data)
-    )
+    finished = sinks.read_snapshot(spark, data)
+    return replace(metric, finish=None).show(finished)
 
 
 def start_console(
-    deliveries: DataFrame, metric: Metric, path: str | None = None, trigger: Trigger = LIVE, rows: int = 20
+    deliveries: DataFrame,
+    metric: Metric,
+    path: str | None = None,
+    trigger: Trigger | None = None,
+    rows: int = 20,
 ) -> StreamingQuery:
     """Print the result at each trigger: sorted and in full if it is an aggregate, else new rows."""
     mode = "complete" if metric.keys else "append"
+    trigger = live(metric) if trigger is None else trigger
     aggregated = metric.aggregate(deliveries)
     if metric.finish:
 
@@ -79,7 +89,7 @@ def start_console(
     return writer.format("console").option("truncate", False).option("numRows", rows).start()
 
 
-def start_landing(messages: DataFrame, path: str, trigger: Trigger = None) -> StreamingQuery:
+def start_landing(messages: DataFrame, path: str, trigger: Trigger | None = None) -> StreamingQuery:
     """Land the messages of any number of topics in their tables, bad ones in quarantine."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -92,6 +102,21 @@ def read_landed(spark: SparkSession, path: str, table: str) -> DataFrame:
     return landing.read_landed(spark, f"{path}/data", table)
 
 
+def start_store(messages: DataFrame, path: str, trigger: Trigger | None = None) -> StreamingQuery:
+    """Store raw deliveries: new matches in the dimension, every delivery in the fact table."""
+    landing.create_matches(messages.sparkSession, f"{path}/matches")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        deliveries = parse.decode_raw(batch).persist()
+        try:
+            landing.insert_matches(deliveries, f"{path}/matches", batch_id)
+            landing.write_facts(landing.facts(deliveries), f"{path}/deliveries/batch_id={batch_id}", "overwrite")
+        finally:
+            deliveries.unpersist()
+
+    return _writer(messages, "store", path, "append", trigger).foreachBatch(write).start()
+
+
 def finish(query: StreamingQuery, timeout: int = 3600) -> None:
     """Wait for a query that ends by itself."""
     if not query.awaitTermination(timeout):
