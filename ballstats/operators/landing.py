@@ -65,14 +65,16 @@ def read_landed(spark: SparkSession, path: str, table: str) -> DataFrame:
 def matches(deliveries: DataFrame) -> DataFrame:
     """The match dimension: one row per ``match_id``.
 
-    Distinct attribute sets first, which is a hash aggregate combined on the map side
-    (``dropDuplicates`` on text columns would sort every delivery); what is left is about one
-    row per match. Of contradicting attributes the smallest set is taken, the same on any retry.
+    Of contradicting attributes those that most deliveries carry are taken, the smallest ones if
+    equal, so that a retry gives the same row. The deliveries are counted per attribute set,
+    which is a hash aggregate combined on the map side; an aggregate that picks text values
+    (``dropDuplicates``, or ``min`` of a struct) would sort all of them. It only sees the counts.
     """
     attributes = [name for name in schemas.MATCH_FIELDS if name in deliveries.columns and name != "match_id"]
-    seen = deliveries.where("match_id is not null").select("match_id", *attributes).distinct()
-    one = seen.groupBy("match_id").agg(F.min(F.struct(*attributes)).alias("m"))
-    return one.select("match_id", "m.*")
+    known = deliveries.where("match_id is not null").groupBy("match_id", *attributes)
+    counted = known.agg((-F.count("*")).alias("rarity"))
+    one = counted.groupBy("match_id").agg(F.min(F.struct("rarity", *attributes)).alias("m"))
+    return one.select("match_id", *(f"m.{name}" for name in attributes))
 
 
 def absent_matches(candidates: DataFrame, existing: DataFrame) -> DataFrame:

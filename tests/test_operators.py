@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ballstats.functions import parse
-from ballstats.operators import landing, metrics, reconcile, stats, topk
+from ballstats.operators import fanout, landing, metrics, reconcile, stats, topk
 from ballstats.plans import batch
 from ballstats.plans.catalog import JOBS, METRICS
 from tests.helpers import deliveries, plan, rows
@@ -170,16 +170,27 @@ def test_team_stats(spark):
 
 
 def test_matches_are_inserted_if_absent(spark):
-    df = deliveries(spark, {"venue": "W"}, {"venue": "V"}, {"match_id": "M2"}, {"match_id": None})
+    df = deliveries(
+        spark,
+        {"venue": "W"}, {"venue": "V"},
+        {"match_id": "M2"}, {"match_id": "M2", "venue": "A"}, {"match_id": "M2"},
+        {"match_id": None},
+    )
     found = landing.matches(df)
     assert rows(found) == [("M1", "2022", "V"), ("M2", "2022", "V1")]
     existing = spark.createDataFrame([("M1", "old")], "match_id string, venue string")
     assert [row.match_id for row in landing.absent_matches(found, existing).collect()] == ["M2"]
-    assert "SortAggregate" not in plan(df.select("match_id", "season", "venue").distinct())
     today = spark.range(1).select(F.current_date()).first()[0]
     assert landing.with_ingest_date(found).first().ingest_date == today
 
 
+def test_matches_do_not_sort_the_deliveries(spark, tmp_path):
+    deliveries(spark, {}).write.parquet(str(tmp_path / "d"))
+    text = plan(landing.matches(spark.read.parquet(str(tmp_path / "d"))))
+    steps = [line for line in text.splitlines() if "Aggregate(" in line]
+    assert "HashAggregate(keys=[match_id" in steps[-1] and "partial_count" in steps[-1]
+
+
 def test_facts_take_defaults(spark):
     df = deliveries(spark, {"over": "12.4"}, {"extras": None, "over": "7"}, {"extras": "x", "over": None})
     got = landing.facts(df.drop("wides")).collect()
@@ -198,6 +209,19 @@ def test_facts_are_appended_by_season(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(season" in plan(facts.where("season = 2022"))
 
 
+def test_landed_tables_are_pruned_and_filtered_in_the_scan(spark, tmp_path):
+    landing.land(fanout.fan_out(deliveries(spark, {"over": "5.6"}, {"over": "6.1"})), str(tmp_path), 0)
+    rate = METRICS["run_rate_powerplay"].batch(parse.typed(landing.read_landed(spark, str(tmp_path), "rate")))
+    scan = next(line for line in plan(rate).splitlines() if "FileScan" in line)
+    assert "table" in scan.split("PartitionFilters: ")[1].split("]")[0]
+    assert rows(rate) == [("A", "M1", 1, 1, 1, 6.0)]
+    detail = rate._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert "LessThan(over,6.0)" in detail
+    assert "struct<match_id:string,batting_team:string,innings:int,over:float,runs_of_bat:int,extras:int>" in detail
+
+
 def test_orphans(spark):
     df = deliveries(spark, {}, {}, {"match_id": "M2"}, {"match_id": None})
     known = spark.createDataFrame([("M2",)], "match_id string")
