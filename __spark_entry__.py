@@ -32,6 +32,11 @@ def _deliveries(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) ->
     return fixture.deliveries(fixture.lineitem(spark, sf_dir), keep)
 
 
+def _spread(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The deliveries on all cores, for work that is costly per row (JSON, wide rows written)."""
+    return fixture.deliveries(files.spread(fixture.lineitem(spark, sf_dir)), keep)
+
+
 def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse.typed(_deliveries(spark, sf_dir))
 
@@ -60,8 +65,7 @@ def _streamed(name: str, mode: str = "complete") -> Query:
 def _message_stream(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     """The topic written out as messages and read back as a stream of several micro-batches."""
     path = session.fresh_path(spark, f"topic-{topic}")
-    pieces = files.spread(fixture.lineitem(spark, sf_dir))
-    n = topics.write_topic_files(fanout.topic_messages(fixture.deliveries(pieces), topic), path)
+    n = topics.write_topic_files(fanout.topic_messages(_spread(spark, sf_dir), topic), path)
     return topics.stream_topic_files(session.for_streams(spark), path, [topic], ceil(n / MICRO_BATCHES))
 
 
@@ -92,12 +96,12 @@ def typed_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse.decode(fanout.topic_messages(_deliveries(spark, sf_dir), "runs"), "runs")
+    return parse.decode(fanout.topic_messages(_spread(spark, sf_dir), "runs"), "runs")
 
 
 def validate_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages of ``rate`` that lack the striker where the line number is 7."""
-    deliveries = _deliveries(spark, sf_dir, keep=("l_linenumber",))
+    deliveries = _spread(spark, sf_dir, keep=("l_linenumber",))
     gappy = deliveries.withColumn("striker", F.when(F.col("l_linenumber") != 7, F.col("striker")))
     fields = F.struct("match_id", "batting_team", "innings", "over", "striker", "runs_of_bat", "extras")
     messages = gappy.select(F.lit("rate").alias("topic"), F.to_json(fields).alias("value"))
@@ -112,7 +116,7 @@ def matches_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deliveries_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, path = landing.facts(_deliveries(spark, sf_dir)), session.fresh_path(spark, "deliveries")
+    rows, path = landing.facts(_spread(spark, sf_dir)), session.fresh_path(spark, "deliveries")
     landing.write_facts(rows, path)
     return spark.read.schema(rows.schema).parquet(path)
 
@@ -158,7 +162,7 @@ def queries() -> dict[str, Query]:
         **{f"land_{topic}": _landed(topic) for topic in ("runs", "rate", "bowler")},
         "typed_deliveries": typed_deliveries,
         "wicket_flag": _on_typed(metrics.wicket_flags),
-        "topic_fanout": lambda spark, sf_dir: fanout.fan_out(_deliveries(spark, sf_dir)),
+        "topic_fanout": lambda spark, sf_dir: fanout.fan_out(_spread(spark, sf_dir)),
         "json_decode": json_decode,
         "validate_messages": validate_messages,
         "matches_dim": matches_dim,
@@ -174,9 +178,9 @@ def queries() -> dict[str, Query]:
         "top10_wicket_takers": _on_typed(
             lambda df: topk.top_positive(stats.wickets_by_player(df), "wickets_taken", "player_name", 10)
         ),
-        "top_batters": _on_typed(lambda df: topk.top(stats.batters(df), "runs_scored", "player_name", 5)),
-        "top_bowlers": _on_typed(lambda df: topk.top(stats.bowlers(df), "wickets_taken", "player_name", 5)),
-        "top_teams": _on_typed(lambda df: topk.top(stats.team_wins(df), "wins", "team_name", 8)),
+        "top_batters": _on_typed(lambda df: stats.top_performers(df, "batsmen", 5)),
+        "top_bowlers": _on_typed(lambda df: stats.top_performers(df, "bowlers", 5)),
+        "top_teams": _on_typed(lambda df: stats.top_performers(df, "teams", 8)),
         "reconcile_accuracy": reconcile_accuracy,
         "reconcile_summary": lambda spark, sf_dir: reconcile.summary(reconcile_accuracy(spark, sf_dir)),
     }

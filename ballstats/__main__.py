@@ -34,6 +34,8 @@ def _arguments() -> argparse.ArgumentParser:
         added = command(name, text, broker=True)
         added.add_argument("path")
         added.add_argument("--once", action="store_true", help="take in what is there, and end")
+        if name == "land":
+            added.add_argument("--jdbc", help="land in a database: JSON file with the JDBC options")
     stream = command("stream", "run the queries of a job live", broker=True)
     stream.add_argument("job", choices=JOBS)
     stream.add_argument("path")
@@ -52,10 +54,14 @@ def _arguments() -> argparse.ArgumentParser:
     return parser
 
 
+def _jdbc(path: str) -> dict[str, str]:
+    with open(path) as options:
+        return json.load(options)
+
+
 def _landed(spark: SparkSession, args: argparse.Namespace, topic: str) -> DataFrame:
     if getattr(args, "jdbc", None):
-        with open(args.jdbc) as options:
-            return parse.typed(tables.read_jdbc(spark, {**json.load(options), "dbtable": topic}))
+        return parse.typed(tables.read_jdbc(spark, {**_jdbc(args.jdbc), "dbtable": topic}))
     return parse.typed(runner.read_landed(spark, args.landed, topic))
 
 
@@ -86,7 +92,12 @@ def main(argv: list[str] | None = None) -> None:
         else:
             topics.write_topic_files(sent, args.topics)
     elif args.command == "land":
-        runner.start_landing(messages(*schemas.TOPIC_FIELDS), args.path, once).awaitTermination()
+        source = messages(*schemas.TOPIC_FIELDS)
+        if args.jdbc:
+            query = runner.start_landing_jdbc(source, _jdbc(args.jdbc), args.path, once)
+        else:
+            query = runner.start_landing(source, args.path, once)
+        query.awaitTermination()
     elif args.command == "store":
         runner.start_store(messages(schemas.RAW_TOPIC), args.path, once).awaitTermination()
     elif args.command == "stream":

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ballstats.functions import rates, wickets
+from ballstats.operators import topk
 
 
 def runs_by_player(deliveries: DataFrame) -> DataFrame:
@@ -154,6 +155,20 @@ def team_wins(deliveries: DataFrame) -> DataFrame:
     return won.select("team_name", F.col("matches_won").alias("wins"), "win_percentage")
 
 
+# The kinds of top performers, what each is computed by and ranked on.
+PERFORMERS = {
+    "batsmen": (batters, "runs_scored", "player_name"),
+    "bowlers": (bowlers, "wickets_taken", "player_name"),
+    "teams": (team_wins, "wins", "team_name"),
+}
+
+
+def top_performers(deliveries: DataFrame, kind: str, limit: int) -> DataFrame:
+    """Name, measure and rate of the best ``limit`` batsmen, bowlers or teams."""
+    compute, measure, name = PERFORMERS[kind]
+    return topk.top(compute(deliveries), measure, name, limit)
+
+
 def team_performance(teams: DataFrame) -> DataFrame:
     """Teams by runs scored."""
     shown = teams.select("team_name", "matches_played", "total_runs_scored")

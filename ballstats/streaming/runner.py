@@ -10,11 +10,14 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from ballstats import schemas
 from ballstats.functions import parse
 from ballstats.operators import landing
 from ballstats.plans.catalog import Metric
+from ballstats.sources import tables
 from ballstats.streaming import sinks
 
 Trigger = dict[str, str | bool]
@@ -102,6 +105,29 @@ def read_landed(spark: SparkSession, path: str, table: str) -> DataFrame:
     return landing.read_landed(spark, f"{path}/data", table)
 
 
+def start_landing_jdbc(
+    messages: DataFrame, options: dict[str, str], path: str, trigger: Trigger | None = None
+) -> StreamingQuery:
+    """Land topics in database tables of the same names; ``path`` keeps the checkpoint and quarantine.
+
+    A batch that is repeated after a failure is appended again, as a plain insert is. Use
+    :func:`start_landing` where that matters.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        routed = landing.route(batch).persist()
+        try:
+            for topic, names in schemas.TOPIC_FIELDS.items():
+                rows = routed.where(F.col("table") == topic).select(*names)
+                tables.append_jdbc(rows, {**options, "dbtable": topic})
+            rejected = routed.where(F.col("table") == landing.QUARANTINE).select("topic", "value", "problem")
+            rejected.write.mode("overwrite").parquet(f"{path}/quarantine/batch_id={batch_id}")
+        finally:
+            routed.unpersist()
+
+    return _writer(messages, "landing", path, "append", trigger).foreachBatch(write).start()
+
+
 def start_store(messages: DataFrame, path: str, trigger: Trigger | None = None) -> StreamingQuery:
     """Store raw deliveries: new matches in the dimension, every delivery in the fact table."""
     landing.create_matches(messages.sparkSession, f"{path}/matches")

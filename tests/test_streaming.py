@@ -127,6 +127,20 @@ def test_unknown_topic_is_quarantined(spark, tmp_path):
     assert landing.read_landed(spark, str(tmp_path), "runs").count() == 1
 
 
+def test_landing_in_a_database(spark, tmp_path, monkeypatch):
+    written = {}
+    monkeypatch.setattr(
+        runner.tables, "append_jdbc", lambda df, options: written.update({options["dbtable"]: (df.columns, rows(df))})
+    )
+    inbox, out = str(tmp_path / "topics"), str(tmp_path / "out")
+    topics.write_topic_files(messages(spark, message("runs"), message("rate"), ("bowler", "bad")), inbox)
+    stream = topics.stream_topic_files(spark, inbox, ["runs", "rate", "bowler"])
+    runner.finish(runner.start_landing_jdbc(stream, {"url": "u"}, out, runner.ONCE), 60)
+    assert {table: len(found) for table, (_, found) in written.items()} == {"runs": 1, "rate": 1, "bowler": 0}
+    assert written["rate"][0] == ["match_id", "batting_team", "innings", "over", "striker", "runs_of_bat", "extras"]
+    assert [row.value for row in spark.read.parquet(f"{out}/quarantine").collect()] == ["bad"]
+
+
 def test_store_inserts_each_match_once(spark, tmp_path):
     inbox, out = str(tmp_path / "topics"), str(tmp_path / "out")
     for part in ([{}, {"match_id": "M2"}], [{"venue": "elsewhere"}, {"match_id": "M3", "season": "2023"}]):
