@@ -7,9 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-COLUMNS = ["analysis_type", "batch_records", "stream_records", "matching_records", "accuracy"]
-
-
 def reconcile(name: str, batch: DataFrame, stream: DataFrame) -> DataFrame:
     """One row: records on both sides, equal records, and their share of the batch in percent.
 

@@ -78,18 +78,20 @@ def start_console(
     trigger: Trigger | None = None,
     rows: int = 20,
 ) -> StreamingQuery:
-    """Print the result at each trigger: sorted and in full if it is an aggregate, else new rows."""
+    """Print the first rows at each trigger: of the whole result if it is an aggregate, else of the new rows.
+
+    The console format would collect the result in the driver and sort all of it; showing the
+    batch takes the first rows only.
+    """
     mode = "complete" if metric.keys else "append"
     trigger = live(metric) if trigger is None else trigger
-    aggregated = metric.aggregate(deliveries)
-    if metric.finish:
 
-        def show(batch: DataFrame, batch_id: int) -> None:
-            metric.show(batch).show(rows, truncate=False)
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"=== {metric.name}, batch {batch_id} ===")
+        metric.show(batch).show(rows, truncate=False)
 
-        return _writer(aggregated, metric.name, path, mode, trigger).foreachBatch(show).start()
-    writer = _writer(metric.show(aggregated), metric.name, path, mode, trigger)
-    return writer.format("console").option("truncate", False).option("numRows", rows).start()
+    aggregated = metric.aggregate(deliveries)
+    return _writer(aggregated, metric.name, path, mode, trigger).foreachBatch(show).start()
 
 
 def start_landing(messages: DataFrame, path: str, trigger: Trigger | None = None) -> StreamingQuery:
