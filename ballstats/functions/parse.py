@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 from operator import and_
 
@@ -90,28 +91,33 @@ def decode_raw(messages: DataFrame) -> DataFrame:
 
 
 def checked(messages: DataFrame) -> DataFrame:
-    """Add ``fields`` (the message as a map) and ``problem`` (null where the message is good).
+    """Add ``fields`` (a struct of all topics' fields) and ``problem`` (null where the message is good).
 
     A message is good if its topic is known, it is a JSON object and it has every field of the
-    topic; a field that is there but null is fine.
+    topic; a field that is there but null is fine. The keys of a message are looked at only
+    where one of its fields came out null.
     """
     text = F.col("value").cast("string")
-    parsed = messages.withColumn("fields", F.from_json(text, "map<string,string>"))
-    complete = F.lit(None).cast("boolean")
+    parsed = messages.withColumn("fields", F.from_json(text, schemas.strings(schemas.ALL_FIELDS)))
+    keys = F.json_object_keys(text)
+    filled = named = F.lit(None).cast("boolean")
     for topic, names in schemas.TOPIC_FIELDS.items():
-        has_all = reduce(and_, (F.map_contains_key("fields", name) for name in names))
-        complete = F.when(F.col("topic") == topic, has_all).otherwise(complete)
+        ours = F.col("topic") == topic
+        filled = F.when(ours, _all(F.col("fields")[name].isNotNull() for name in names)).otherwise(filled)
+        named = F.when(ours, _all(F.array_contains(keys, name) for name in names)).otherwise(named)
     problem = (
         F.when(F.col("topic").isNull() | ~F.col("topic").isin(*schemas.TOPIC_FIELDS), "unknown topic")
-        .when(F.col("fields").isNull(), "not a JSON object")
-        .when(~complete, "missing field")
+        .when(filled, None)
+        .when(keys.isNull(), "not a JSON object")
+        .when(~named, "missing field")
     )
     return parsed.withColumn("problem", problem)
 
 
-def table_columns(topic: str) -> list[Column]:
-    """Typed table columns out of the ``fields`` map of :func:`checked`."""
-    return [
-        F.col("fields")[name].try_cast(schemas.NUMERIC_FIELDS.get(name, "string")).alias(name)
-        for name in schemas.TOPIC_FIELDS[topic]
-    ]
+def _all(conditions: Iterable[Column]) -> Column:
+    return reduce(and_, conditions)
+
+
+def table_column(name: str) -> Column:
+    """A typed table column out of the ``fields`` of :func:`checked`."""
+    return F.col("fields")[name].try_cast(schemas.NUMERIC_FIELDS.get(name, "string")).alias(name)

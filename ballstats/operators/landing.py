@@ -26,13 +26,9 @@ def route(messages: DataFrame) -> DataFrame:
     """
     checked = parse.checked(messages)
     good = F.col("problem").isNull()
-    typed: dict[str, Column] = {}
-    for topic in schemas.TOPIC_FIELDS:
-        for field, column in zip(schemas.table_schema(topic), parse.table_columns(topic)):
-            typed[field.name] = column
     return checked.select(
         F.when(good, F.col("topic")).otherwise(QUARANTINE).alias("table"),
-        *[F.when(good, column).alias(name) for name, column in typed.items()],
+        *[F.when(good, parse.table_column(name)).alias(name) for name in schemas.ALL_FIELDS],
         F.when(~good, F.col("topic")).alias("topic"),
         F.when(~good, F.col("value").cast("string")).alias("value"),
         "problem",
@@ -46,13 +42,9 @@ def land(messages: DataFrame, path: str, batch_id: int) -> None:
 
 
 def _landed_schema() -> str:
-    names: dict[str, str] = {}
-    for fields in schemas.TOPIC_FIELDS.values():
-        for name in fields:
-            names[name] = schemas.NUMERIC_FIELDS.get(name, "string")
-    for name in ("topic", "value", "problem", "table"):
-        names[name] = "string"
-    return ", ".join(f"`{name}` {kind}" for name, kind in names.items()) + ", batch_id bigint"
+    kinds = {name: schemas.NUMERIC_FIELDS.get(name, "string") for name in schemas.ALL_FIELDS}
+    kinds |= dict.fromkeys(("topic", "value", "problem", "table"), "string")
+    return ", ".join(f"`{name}` {kind}" for name, kind in kinds.items()) + ", batch_id bigint"
 
 
 def read_landed(spark: SparkSession, path: str, table: str) -> DataFrame:

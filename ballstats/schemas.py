@@ -14,6 +14,7 @@ TOPIC_FIELDS: dict[str, list[str]] = {
         "bowler", "wicket_type", "player_dismissed", "fielder",
     ],
 }
+ALL_FIELDS = list(dict.fromkeys(name for fields in TOPIC_FIELDS.values() for name in fields))
 # Fields a message may not lack when it is produced; the others are sent if the row has them.
 MANDATORY_FIELDS: dict[str, list[str]] = {"rate": ["extras"]}
 
@@ -77,16 +78,6 @@ def strings(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
-def topic_schema(topic: str) -> T.StructType:
-    return strings(TOPIC_FIELDS[topic])
-
-
-def table_schema(topic: str) -> T.StructType:
-    """Typed columns of the table a topic is landed in."""
-    ddl = ", ".join(f"`{name}` {NUMERIC_FIELDS.get(name, 'string')}" for name in TOPIC_FIELDS[topic])
-    return T.StructType.fromDDL(ddl)
-
-
 MESSAGE_SCHEMA = T.StructType(
     [T.StructField("value", T.StringType()), T.StructField("topic", T.StringType())]
 )
