@@ -27,7 +27,8 @@ def deliveries(items: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     match = F.col("l_orderkey") % 200
     home, away = match % 10, (match + 1 + match % 9) % 10
     first = F.col("inn") == 1
-    batting, bowling = F.when(first, F.col("t1")).otherwise(F.col("t2")), F.when(first, F.col("t2")).otherwise(F.col("t1"))
+    batting = F.when(first, F.col("t1")).otherwise(F.col("t2"))
+    bowling = F.when(first, F.col("t2")).otherwise(F.col("t1"))
 
     def name(prefix: str, number: Column) -> Column:
         return F.concat(F.lit(prefix), number.cast("string"))
@@ -36,6 +37,7 @@ def deliveries(items: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         return F.when(condition, "1").otherwise("0")
 
     striker = name("P", batting * 11 + F.col("l_partkey") % 11)
+    fielder = name("P", bowling * 11 + F.col("l_orderkey") % 11)
     how = F.col("l_suppkey") % 5
     wicket_type = (
         F.when(how == 0, "caught").when(how == 1, "bowled").when(how == 2, "lbw").when(how == 3, "run out")
@@ -56,7 +58,7 @@ def deliveries(items: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         (F.col("m") % 5 + 2020).alias("season"),
         name("V", F.col("m") % 12).alias("venue"),
         F.col("inn").cast("string").alias("innings"),
-        F.concat_ws(".", (F.col("l_partkey") % 20).cast("string"), (F.col("l_linenumber") % 6 + 1).cast("string")).alias("over"),
+        F.concat_ws(".", F.col("l_partkey") % 20, F.col("l_linenumber") % 6 + 1).alias("over"),
         name("T", batting).alias("batting_team"),
         name("T", bowling).alias("bowling_team"),
         striker.alias("striker"),
@@ -66,6 +68,6 @@ def deliveries(items: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         flag(extra & (F.col("l_tax") > 0.045)).alias("wides"),
         F.when(F.col("w"), wicket_type).otherwise("").alias("wicket_type"),
         F.when(F.col("w"), striker).otherwise("").alias("player_dismissed"),
-        F.when(F.col("w") & (how == 0), name("P", bowling * 11 + F.col("l_orderkey") % 11)).otherwise("").alias("fielder"),
+        F.when(F.col("w") & (how == 0), fielder).otherwise("").alias("fielder"),
         *keep,
     )

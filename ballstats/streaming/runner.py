@@ -46,8 +46,8 @@ def start_metric(
 ) -> StreamingQuery:
     """Keep a metric's result under ``path``.
 
-    ``complete`` stores the full result at each trigger. ``update`` stores changed rows only,
-    which is the one to take when there are many keys. ``append`` is for metrics without an
+    ``complete`` stores the full result at each trigger. ``update`` stores changed rows, folded now
+    and then, which is the one to take when there are many keys. ``append`` is for metrics without an
     aggregate. The trigger is the metric's own unless another is given.
     """
     data = f"{path}/data"
@@ -56,7 +56,7 @@ def start_metric(
     if mode == "append":
         return writer.format("parquet").option("path", data).start()
     if mode == "update":
-        return writer.foreachBatch(sinks.change_writer(data)).start()
+        return writer.foreachBatch(sinks.change_writer(data, metric.keys)).start()
     return writer.foreachBatch(sinks.snapshot_writer(data, metric.finish)).start()
 
 

@@ -1,4 +1,8 @@
-"""Where streamed results go. Replaying a micro-batch replaces what it wrote before."""
+"""Where streamed results go.
+
+Each micro-batch writes a directory of its own, ``batch_id=<n>``: repeating the batch replaces
+it, and readers of older ones are not disturbed. What is no longer needed is removed later.
+"""
 
 from __future__ import annotations
 
@@ -9,18 +13,26 @@ from pyspark.sql import functions as F
 
 BatchWriter = Callable[[DataFrame, int], None]
 
-# The full result alternates between two directories, so that the last complete one stays
-# readable while the next is written, and storage does not grow with the number of triggers.
-SLOTS = 2
+# Full results kept for readers that are still at work on an older one.
+KEPT_SNAPSHOTS = 20
+# After this many triggers the changes are folded into one row per key.
+FOLD_EVERY = 100
+
 
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
-def snapshot_writer(path: str, finish: Callable[[DataFrame], DataFrame] | None = None) -> BatchWriter:
+
+def snapshot_writer(
+    path: str, finish: Callable[[DataFrame], DataFrame] | None = None, kept: int = KEPT_SNAPSHOTS
+) -> BatchWriter:
     """The full result of each trigger (complete mode)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         result = finish(batch) if finish else batch
-        tagged = result.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        tagged.write.mode("overwrite").parquet(f"{path}/slot={batch_id % SLOTS}")
+        result.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        _remove(batch.sparkSession, f"{path}/batch_id={batch_id - kept}")
 
     return write
 
@@ -28,21 +40,39 @@ def snapshot_writer(path: str, finish: Callable[[DataFrame], DataFrame] | None =
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     kept = spark.read.parquet(path)
     newest = kept.agg(F.max("batch_id")).scalar()
-    return kept.where(F.col("batch_id") == newest).drop("batch_id", "slot")
+    return kept.where(F.col("batch_id") == newest).drop("batch_id")
+
 
+def change_writer(path: str, keys: tuple[str, ...], fold_every: int = FOLD_EVERY) -> BatchWriter:
+    """The rows that changed in each trigger (update mode), folded now and then.
 
-def change_writer(path: str) -> BatchWriter:
-    """The rows that changed in each trigger (update mode)."""
+    Reading takes the last fold and the changes since, so it does not grow with the number of
+    triggers. The fold before the last and its changes are kept for readers still at work.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{path}/kind=change/batch_id={batch_id}")
+        if batch_id % fold_every == fold_every - 1:
+            before = spark.read.parquet(path).where(f"kind = 'change' or batch_id < {batch_id}")
+            _newest(before, keys).write.mode("overwrite").parquet(f"{path}/kind=fold/batch_id={batch_id}")
+            last = batch_id - fold_every
+            _remove(spark, f"{path}/kind=fold/batch_id={last - fold_every}")
+            for old in range(last - fold_every + 1, last + 1):
+                _remove(spark, f"{path}/kind=change/batch_id={old}")
 
     return write
 
 
-def read_changes(spark: SparkSession, path: str, keys: tuple[str, ...]) -> DataFrame:
+def _newest(kept: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """The newest row of every key. The values are numbers, so this is a hash aggregate."""
-    changes = spark.read.parquet(path)
-    values = [name for name in changes.columns if name not in (*keys, "batch_id")]
+    last = F.coalesce(kept.where("kind = 'fold'").agg(F.max("batch_id")).scalar(), F.lit(-1))
+    at_fold = (F.col("kind") == "fold") & (F.col("batch_id") == last)
+    since = (F.col("kind") == "change") & (F.col("batch_id") > last)
+    values = [name for name in kept.columns if name not in (*keys, "kind", "batch_id")]
     newest = [F.max_by(name, "batch_id").alias(name) for name in values]
-    return changes.groupBy(*keys).agg(*newest)
+    return kept.where(at_fold | since).groupBy(*keys).agg(*newest)
+
+
+def read_changes(spark: SparkSession, path: str, keys: tuple[str, ...]) -> DataFrame:
+    return _newest(spark.read.parquet(path), keys)

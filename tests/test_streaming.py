@@ -10,8 +10,8 @@ from ballstats.functions import parse
 from ballstats.operators import fanout, landing
 from ballstats.plans.catalog import JOBS, METRICS
 from ballstats.sources import topics
-from ballstats.streaming import jobs, runner
-from tests.helpers import FIELDS, deliveries, message, messages, rows
+from ballstats.streaming import jobs, runner, sinks
+from tests.helpers import FIELDS, deliveries, message, messages, plan, rows
 
 NAMES = [*dict.fromkeys(name for names in JOBS.values() for name in names), "player_runs_upsert", "player_wickets_upsert"]
 
@@ -74,10 +74,8 @@ def test_restart_continues_from_the_checkpoint(spark, tmp_path, name, mode):
 
 
 def test_replayed_batch_replaces_itself(spark, tmp_path):
-    from ballstats.streaming import sinks
-
     df = spark.createDataFrame([("a", 1)], "k string, n bigint")
-    change, snapshot = sinks.change_writer(str(tmp_path / "c")), sinks.snapshot_writer(str(tmp_path / "s"))
+    change, snapshot = sinks.change_writer(str(tmp_path / "c"), ("k",)), sinks.snapshot_writer(str(tmp_path / "s"))
     for batch_id, factor in ((0, 1), (1, 5), (1, 5)):
         change(df.withColumn("n", F.col("n") * factor), batch_id)
         snapshot(df.withColumn("n", F.col("n") * factor), batch_id)
@@ -85,6 +83,34 @@ def test_replayed_batch_replaces_itself(spark, tmp_path):
     assert rows(sinks.read_snapshot(spark, str(tmp_path / "s"))) == [("a", 5)]
 
 
+def test_changes_are_folded(spark, tmp_path):
+    """Ten triggers, folded after every second one; every trigger is repeated, as after a failure."""
+    path, random, want = str(tmp_path), Random(5), {}
+    write = sinks.change_writer(path, ("k", "m"), fold_every=2)
+    for batch_id in range(10):
+        changed = {(random.choice(["a", "b", None]), random.randrange(3)): random.choice([None, batch_id]) for _ in range(3)}
+        want |= changed
+        batch = spark.createDataFrame([(*key, n) for key, n in changed.items()], "k string, m int, n bigint")
+        write(batch, batch_id)
+        write(batch, batch_id)
+        got = rows(sinks.read_changes(spark, path, ("k", "m")))
+        assert got == sorted(((*key, n) for key, n in want.items()), key=repr), batch_id
+    assert {p.name for p in (tmp_path / "kind=fold").iterdir()} == {"batch_id=7", "batch_id=9"}
+    assert {p.name for p in (tmp_path / "kind=change").iterdir()} == {"batch_id=8", "batch_id=9"}
+    text = plan(sinks.read_changes(spark, path, ("k", "m")))
+    assert "SortAggregate" not in text
+    scan = next(line for line in text.splitlines() if "FileScan" in line)
+    assert "DataFilters: []" in scan and "subquery" in scan.lower()
+
+
+def test_old_snapshots_are_removed(spark, tmp_path):
+    write = sinks.snapshot_writer(str(tmp_path), kept=2)
+    for batch_id in range(5):
+        write(spark.createDataFrame([("a", batch_id)], "k string, n int"), batch_id)
+    assert {p.name for p in tmp_path.iterdir()} == {"batch_id=3", "batch_id=4"}
+    assert rows(sinks.read_snapshot(spark, str(tmp_path))) == [("a", 4)]
+
+
 def test_malformed_messages_change_no_aggregate(spark, tmp_path):
     path = str(tmp_path / "topics")
     topics.write_topic_files(messages(spark, message("rate"), ("rate", "bad"), ("rate", "")), path)
