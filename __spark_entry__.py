@@ -21,6 +21,13 @@ from ballstats.sources import files, fixture, topics  # noqa: E402
 from ballstats.streaming import runner  # noqa: E402
 from oracles import ORACLES  # noqa: E402
 
+try:
+    import corpus_pipeline  # noqa: E402
+    from ballstats.llm import oracles as text_oracles  # noqa: E402
+    from ballstats.llm import queries as text_queries  # noqa: E402
+except ImportError:  # the library works without them
+    corpus_pipeline = text_oracles = text_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Streams of message files are read in this many micro-batches, however many files there are.
@@ -152,6 +159,13 @@ _STREAMED = (
 )
 
 
+def _on_text() -> dict[str, Query]:
+    """Queries of the subpackage for text, if it is there."""
+    if text_queries is None:
+        return {}
+    return {**text_queries.queries(), "pipeline": corpus_pipeline.run}
+
+
 def queries() -> dict[str, Query]:
     upserts = ("player_runs_upsert", "player_wickets_upsert")
     return {
@@ -183,8 +197,11 @@ def queries() -> dict[str, Query]:
         "top_teams": _on_typed(lambda df: stats.top_performers(df, "teams", 8)),
         "reconcile_accuracy": reconcile_accuracy,
         "reconcile_summary": lambda spark, sf_dir: reconcile.summary(reconcile_accuracy(spark, sf_dir)),
+        **_on_text(),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    if text_oracles is None:
+        return dict(ORACLES)
+    return {**ORACLES, **text_oracles.ORACLES, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}
