@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ballstats.llm import language_id, packing, sentencepiece_codec, token_counts, toxicity, url_filters
+from ballstats.llm import fingerprints, language_id, packing, sentencepiece_codec, token_counts, toxicity, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_versions(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
@@ -41,5 +45,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op2_packing, op5_token_counts, op6_language_id, op7_sentencepiece, op8_url_filters, op9_toxicity)
+    found = (op1_fingerprints, op2_packing, op5_token_counts, op6_language_id, op7_sentencepiece, op8_url_filters, op9_toxicity)
     return {query.__name__: query for query in found}
