@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ballstats.llm import fingerprints, language_id, packing, sentencepiece_codec, token_counts, toxicity, url_filters
+from ballstats.llm import fingerprints, language_id, packing, sentencepiece_codec, token_counts, topk_search, toxicity, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -45,5 +50,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_fingerprints, op2_packing, op5_token_counts, op6_language_id, op7_sentencepiece, op8_url_filters, op9_toxicity)
+    found = (op1_fingerprints, op2_packing, op4_topk_search, op5_token_counts, op6_language_id, op7_sentencepiece, op8_url_filters, op9_toxicity)
     return {query.__name__: query for query in found}
