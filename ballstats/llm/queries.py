@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ballstats.llm import fingerprints, language_id, packing, sentencepiece_codec, token_counts, topk_search, toxicity, url_filters
+from ballstats.llm import fingerprints, jaccard_join, language_id, packing, sentencepiece_codec, token_counts, topk_search, toxicity, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.grouped(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = (op1_fingerprints, op2_packing, op4_topk_search, op5_token_counts, op6_language_id, op7_sentencepiece, op8_url_filters, op9_toxicity)
+    found += (op10_jaccard_join,)
     return {query.__name__: query for query in found}
