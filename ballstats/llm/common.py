@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ballstats import session
 
-#: Texts that a task holds at once while it works on an Arrow batch.
-TEXTS_AT_ONCE = 64
+#: Texts, and bytes of text, that a task works on at once; a longer text is worked on alone.
+TEXTS_AT_ONCE, BYTES_AT_ONCE = 64, 1 << 20
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -27,19 +28,29 @@ def crc_of_id(column: str | Column) -> Column:
     return F.crc32(column.cast("string").cast("binary"))
 
 
+def parts(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The batches cut into parts of a bounded number of texts and of bytes."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        start = held = 0
+        for k, size in enumerate(sizes):
+            if k > start and (k - start == TEXTS_AT_ONCE or held + size > BYTES_AT_ONCE):
+                yield batch.slice(start, k - start)
+                start, held = k, 0
+            held += size
+        if start < len(sizes):
+            yield batch.slice(start)
+
+
 def in_slices(
-    make: Callable[[list, list[str]], dict[str, list]], schema: pa.Schema, rows: int = TEXTS_AT_ONCE
+    make: Callable[[list, list[str]], dict[str, list]], schema: pa.Schema
 ) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A ``mapInArrow`` function that hands ``make`` the ids and texts of a few rows at a time."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, rows):
-                part = batch.slice(start, rows)
-                out = make(part.column("doc_id").to_pylist(), part.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[field.name], type=field.type) for field in schema], schema=schema
-                )
+        for part in parts(batches):
+            out = make(part.column("doc_id").to_pylist(), part.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(out[field.name], type=field.type) for field in schema], schema=schema)
 
     return run
 

@@ -52,10 +52,8 @@ Batches = Iterable[pa.RecordBatch]
 
 def _sets(batches: Batches) -> Iterator[tuple[list, list[np.ndarray]]]:
     """Ids and sets, a few documents at a time."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, common.TEXTS_AT_ONCE):
-            part = batch.slice(start, common.TEXTS_AT_ONCE)
-            yield part.column("doc_id").to_pylist(), shingles.shingle_sets(part.column("text").to_pylist())
+    for part in common.parts(batches):
+        yield part.column("doc_id").to_pylist(), shingles.shingle_sets(part.column("text").to_pylist())
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -244,3 +242,12 @@ def grouped(docs: DataFrame) -> DataFrame:
     return named.join(least, "group", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, as they are, that are first in their component: those with its smallest id.
+
+    Rows with a null id stay. Rows that repeat an id are one document and stay together.
+    """
+    others = grouped(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(docs.columns)

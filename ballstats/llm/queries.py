@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ballstats.llm import fingerprints, jaccard_join, language_id, packing, sentencepiece_codec, token_counts, topk_search, toxicity, url_filters
+from ballstats.llm import fingerprints, jaccard_join, language_id, line_dedup, packing, sentencepiece_codec, token_counts, topk_search, toxicity, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.classed(table(spark, sf_dir, "documents"))
+
+
 def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -54,6 +58,6 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_fingerprints, op2_packing, op4_topk_search, op5_token_counts, op6_language_id, op7_sentencepiece, op8_url_filters, op9_toxicity)
+    found = (op1_fingerprints, op2_packing, op3_line_dedup, op4_topk_search, op5_token_counts, op6_language_id, op7_sentencepiece, op8_url_filters, op9_toxicity)
     found += (op10_jaccard_join,)
     return {query.__name__: query for query in found}

@@ -6,6 +6,8 @@ polynomial of its bytes modulo 2^64, mixed; a shingle's hash combines those of i
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 WORDS = 5
@@ -42,34 +44,42 @@ _POWERS = _Powers()
 _FACTORS = np.array([int(x) % (1 << 64) | 1 for x in _PLACE], dtype=np.uint64)
 
 
+def running_hash(raw: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Hashes of substrings by their places, from running sums over the bytes."""
+    up, down = _POWERS.of(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
+    return lambda start, end: (sums[end] - sums[start]) * down[start]
+
+
 def _block_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of a block, and where each begins."""
     raw = np.frombuffer(data, np.uint8)
     inside = np.concatenate([[False], ~_BLANK[raw], [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
-    up, down = _POWERS.of(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts
+    return mixed(running_hash(raw)(starts, ends) + (ends - starts).astype(np.uint64)), starts
 
 
-def word_hashes(texts: list[str]) -> list[np.ndarray]:
-    """Per text the hashes of its words, in order."""
-    data = b"\n".join(text.encode().translate(_LOWER) for text in texts)
-    bounds = np.concatenate([[0], np.cumsum([len(text.encode()) + 1 for text in texts])])
-    hashes, starts, at = [], [], 0
+def words_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, and where each begins; never more than a block, or a word, at once."""
+    hashes, starts, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
     while at < len(data):
         end = min(at + _BLOCK, len(data))
-        while end < len(data) and not _BLANK[data[end]]:  # never inside a word
+        while end < len(data) and not _BLANK[data[end]]:
             end += 1
         h, s = _block_words(data[at:end])
         hashes.append(h)
         starts.append(s + at)
         at = end
-    if not hashes:
-        return [np.zeros(0, np.uint64)] * len(texts)
-    every, begin = np.concatenate(hashes), np.concatenate(starts)
+    return np.concatenate(hashes), np.concatenate(starts)
+
+
+def word_hashes(texts: list[str]) -> list[np.ndarray]:
+    """Per text the hashes of its words, in order."""
+    data = b"\n".join(text.encode().translate(_LOWER) for text in texts)
+    bounds = np.concatenate([[0], np.cumsum([len(text.encode()) + 1 for text in texts])])
+    every, begin = words_of(data)
     cuts = np.searchsorted(begin, bounds)
     return [every[cuts[k] : cuts[k + 1]] for k in range(len(texts))]
 
