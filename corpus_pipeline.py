@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ballstats.llm import common, language_id, packing, toxicity
+from ballstats.llm import common, jaccard_join, language_id, line_dedup, packing, toxicity
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,11 +22,21 @@ def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return language_id.kept(docs, language_id.fit(docs))
 
 
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_dedup.without_repeats(docs)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents that links connect, the one with the smallest id stays."""
+    return jaccard_join.representatives(docs)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed(docs)
 
 
-STAGES = [("toxicity", without_toxic), ("language ID", in_a_language), ("packing", packed)]
+STAGES = [("toxicity", without_toxic), ("language ID", in_a_language), ("line dedup", without_repeated_lines)]
+STAGES += [("n-gram Jaccard join", without_near_duplicates), ("packing", packed)]
 
 # Stages that learn, tokenize or join by edits cannot be written as SQL; tests hold them against brute force.
 ORACLE_SQL = None
