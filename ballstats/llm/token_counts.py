@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 from bisect import bisect_right
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import accumulate
 
 import public_tokenizers
@@ -118,23 +118,37 @@ class PrefixCounts:
             count = [count[end] for end in accumulate((len(c.encode()) for c in chunk), initial=0)]
         return bytes(count) if count[-1] < 250 and max(count) < 256 else tuple(count)
 
+    def looked_up(self, texts: list[str]) -> list[Prefixes]:
+        """The stored counts of several texts."""
+        pieces = [self.split.pieces(text) for text in texts]
+        return [Prefixes(self, *own) for own in zip(texts, pieces, self.tables.of(pieces), strict=True)]
+
     def counts(self, texts: list[str]) -> list[int]:
         """Tokens of whole texts."""
-        return [sum(t[-1] for t in found) for found in self.tables.of([self.split.pieces(text) for text in texts])]
+        return [found.total() for found in self.looked_up(texts)]
 
     def indexed(self, text: str) -> Prefixes:
-        return Prefixes(self, text)
+        return self.looked_up([text])[0]
 
 
 class Prefixes:
     """The stored counts of one text."""
 
-    def __init__(self, counts: PrefixCounts, text: str):
-        self.own, self.text = counts, text
-        self.pieces = counts.split.pieces(text)
-        self.tables = counts.tables.of([self.pieces])[0]
-        self.starts = [0, *accumulate(map(len, self.pieces))]
-        self.before = [0, *accumulate(t[-1] for t in self.tables)]
+    def __init__(self, counts: PrefixCounts, text: str, pieces: list[str], tables: list):
+        self.own, self.text, self.pieces, self.tables = counts, text, pieces, tables
+
+    def total(self) -> int:
+        return sum([table[-1] for table in self.tables])
+
+    @cached_property
+    def starts(self) -> list[int]:
+        """Where each chunk begins, and the end of the text."""
+        return [0, *accumulate(map(len, self.pieces))]
+
+    @cached_property
+    def before(self) -> list[int]:
+        """Tokens before each chunk, and of the whole text."""
+        return [0, *accumulate(table[-1] for table in self.tables)]
 
     def at(self, length: int) -> int:
         """Tokens of the first ``length`` code points.
@@ -144,10 +158,9 @@ class Prefixes:
         """
         if not 0 <= length <= len(self.text):
             raise ValueError(f"the text has {len(self.text)} code points")
-        k = bisect_right(self.starts, length) - 1
-        if length == self.starts[-1]:
+        if length == len(self.text):
             return self.before[-1]
-        k = max(0, k - 1)
+        k = max(0, bisect_right(self.starts, length) - 2)
         tail = self.own.split.pieces(self.text[self.starts[k] : length])
         return self.before[k] + sum(t[-1] for t in self.own.tables.of([tail])[0])
 
@@ -157,11 +170,13 @@ class Prefixes:
 
     def fits(self, budget: int) -> int:
         """Code points of the longest prefix with at most ``budget`` tokens."""
-        if self.before[-1] <= budget:
-            return len(self.text)
-        k = bisect_right(self.before, budget)  # the first chunk that ends over the budget
-        last = self.starts[min(k + 1, len(self.pieces))]
-        return next(n for n in range(last, -1, -1) if self.at(n) <= budget)
+        n = 0
+        for k, table in enumerate(self.tables):
+            n += table[-1]
+            if n > budget:  # the chunks after the next one cannot matter
+                near = Prefixes(self.own, self.text, self.pieces[: k + 3], self.tables[: k + 3])
+                return next(at for at in range(near.starts[min(k + 2, len(near.pieces))], -1, -1) if near.at(at) <= budget)
+        return len(self.text)
 
 
 @lru_cache(maxsize=4)
@@ -180,15 +195,14 @@ def token_counts(docs: DataFrame, limit: int = LIMIT, vocabulary: str = tokens.V
 
     def count(ids: list, texts: list[str]) -> dict[str, list]:
         own = prefix_counts(public_tokenizers.path(vocabulary))
-        n = own.counts(texts)
+        found = own.looked_up(texts)
+        n = [x.total() for x in found]
         return {
             "doc_id": ids,
             "n_bytes": [len(text.encode()) for text in texts],
             "n_tokens": n,
             "over_limit": [x > limit for x in n],
-            "fits_chars": [
-                own.indexed(text).fits(limit) if x > limit else len(text) for x, text in zip(n, texts, strict=True)
-            ],
+            "fits_chars": [x.fits(limit) for x in found],
         }
 
     return common.id_and_text(docs).mapInArrow(common.in_slices(count, _SCHEMA), common.ddl(_SCHEMA))
