@@ -2,7 +2,8 @@
 
 A packer keeps a fixed number of open sequences. A bitset has a bit for each amount of free space that
 an open sequence has; shifted by a piece's length, its lowest bit is the tightest place for the piece.
-If nothing fits, a new sequence is opened, and the fullest is closed first if too many are open.
+If nothing fits, a new sequence is opened, and the fullest is closed first if too many are open. Pieces
+come in windows of ``WINDOW``, which are placed from the longest to the shortest.
 
 Documents over the length are cut into full pieces, the first piece being what is left over; full
 pieces fill sequences of their own. Only the lengths of pieces are shuffled, never text or ids, in an
@@ -30,6 +31,8 @@ from ballstats.llm import common, tokens
 CAPACITY = 1024
 END_ID = 2
 OPEN = 4096
+#: So many pieces are looked at together, the longest placed first.
+WINDOW = 4096
 # A task's sequences are numbered from its own number, shifted by so many bits.
 _TASK_BITS = 40
 
@@ -99,10 +102,15 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, most_open: int = OPEN) -> Dat
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fit, base = BestFit(capacity, most_open), TaskContext.get().partitionId() << _TASK_BITS
         for batch in batches:
-            placed = [fit.place(length) for length in batch.column("length").to_pylist()]
-            numbers = pa.array([base + number for number, _ in placed], pa.int64())
-            offsets = pa.array([offset for _, offset in placed], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, numbers, offsets], schema=_PACKED)
+            for start in range(0, batch.num_rows, WINDOW):
+                part = batch.slice(start, WINDOW)
+                lengths = part.column("length").to_pylist()
+                placed: list[tuple[int, int]] = [(0, 0)] * len(lengths)
+                for k in sorted(range(len(lengths)), key=lengths.__getitem__, reverse=True):
+                    placed[k] = fit.place(lengths[k])
+                numbers = pa.array([base + number for number, _ in placed], pa.int64())
+                offsets = pa.array([offset for _, offset in placed], pa.int64())
+                yield pa.RecordBatch.from_arrays([*part.columns, numbers, offsets], schema=_PACKED)
 
     mixed = F.xxhash64("doc_id", "piece", "ids_crc32")
     dealt = cut.select(*_PIECES.names).repartition("doc_id", "piece", "ids_crc32")
