@@ -46,4 +46,28 @@ WITH rows AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLES = {"op4_topk_search": _TOP, "op8_url_filters": _URLS}
+# All pairs that share a shingle, and everything that links reach.
+_JACCARD = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i : i + 4], ' ') for i in range(1, len(w) - 3)]) END AS s
+  FROM words
+), items AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT a, b FROM pairs UNION SELECT reach.a, pairs.b FROM reach JOIN pairs ON reach.b = pairs.a
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles,
+       least(doc_id, coalesce((SELECT min(b) FROM reach WHERE reach.a = doc_id), doc_id)) AS component_id
+FROM sets
+"""
+
+ORACLES = {"op4_topk_search": _TOP, "op10_jaccard_join": _JACCARD, "op8_url_filters": _URLS}
