@@ -153,14 +153,14 @@ class Prefixes:
     def at(self, length: int) -> int:
         """Tokens of the first ``length`` code points.
 
-        A cut changes how the chunk that it falls in, and white space just before, is cut into chunks;
-        only from the chunk before on are chunks looked up again.
+        A cut changes how the chunk that it falls in is cut, and white space just before it, which is two
+        chunks at most; so chunks are looked up again from two before on.
         """
         if not 0 <= length <= len(self.text):
             raise ValueError(f"the text has {len(self.text)} code points")
         if length == len(self.text):
             return self.before[-1]
-        k = max(0, bisect_right(self.starts, length) - 2)
+        k = max(0, bisect_right(self.starts, length) - 3)
         tail = self.own.split.pieces(self.text[self.starts[k] : length])
         return self.before[k] + sum(t[-1] for t in self.own.tables.of([tail])[0])
 
