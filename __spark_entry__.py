@@ -166,6 +166,10 @@ def _on_text() -> dict[str, Query]:
     return {**text_queries.queries(), "pipeline": corpus_pipeline.run}
 
 
+def text_query_names() -> set[str]:
+    return set(_on_text())
+
+
 def queries() -> dict[str, Query]:
     upserts = ("player_runs_upsert", "player_wickets_upsert")
     return {

@@ -20,11 +20,15 @@ def duck():
     return con
 
 
+# The text queries have tests of their own.
+NAMES = [name for name in entry.queries() if name not in entry.text_query_names()]
+
+
 def test_every_query_has_a_check():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(NAMES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, duck, name):
     got = entry.queries()[name](spark, str(SF_DIR))
     want = duck.execute(entry.oracle_sql()[name])
