@@ -10,8 +10,8 @@ Candidates are verified by a banded bit-parallel edit distance, many pairs at a
 Lines stand for themselves by a 64-bit hash, so equal lines are one and copies are never paired. Text
 is shuffled only for lines that have candidates. Most segments occur in one line only and meet no
 probe; bitmaps of fixed size (``BITS``) sort them out before the shuffle, and let some more through if
-they fill up, never fewer. Within a block of equal segments, words' hashes folded to ``2 * 64`` parity
-bits leave out pairs that differ in more words than the edits can touch.
+they fill up, never fewer. Within a block of equal segments, pairs are left out that differ in more
+bytes, pairs of bytes or words than the edits can touch, as far as 64 parity bits of each tell.
 
 Lines of under ``LEAST_BYTES`` bytes link with equal lines only. Edge cases: a null or empty text and
 blank lines have no rows; a class is named by its first line in the order of (doc_id, line_no), null
@@ -21,6 +21,8 @@ ids last; repeated ids are one document with the same line numbers; extra column
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +37,9 @@ from ballstats.llm.shingles import mixed, running_hash, words_of
 EDITS = 2
 LEAST_BYTES = 24
 BITS = 1 << 27
-#: Words that one edit can change: one gone and one new, or a blank that parts or joins two.
-_WORDS_PER_EDIT = 3
+#: Bytes, pairs of bytes and words that one edit can change: a replaced byte is one gone and one new, and
+#: so are its two pairs; a blank parts a word into two or joins two.
+_PER_EDIT = {"p0": 2, "p1": 4, "p2": 3}
 _AT_ONCE = 4096
 
 Batches = Iterable[pa.RecordBatch]
@@ -66,14 +69,17 @@ class Lines:
         self._words, self._first = words, np.searchsorted(begin, self.start)
         self._last = np.searchsorted(begin, self.end)
 
-    def parity(self) -> tuple[np.ndarray, np.ndarray]:
-        """Two times 64 bits per line: how often, modulo 2, a word falls on each."""
+    def parity(self) -> list[np.ndarray]:
+        """64 bits each for a line's bytes, pairs of bytes and words: how often, modulo 2, one falls on each."""
+        raw = np.frombuffer(self.data, np.uint8).astype(np.uint64)
+        pairs = mixed(raw[:-1] * np.uint64(256) + raw[1:])
+        places = [(raw, self.start, self.end), (pairs, self.start, self.end - 1), (self._words, self._first, self._last)]
         out = []
-        for k in (0, 6):
-            bits = np.uint64(1) << ((self._words >> np.uint64(k)) & np.uint64(63))
-            sums = np.concatenate([[np.uint64(0)], np.bitwise_xor.accumulate(bits)]) if len(bits) else np.zeros(1, np.uint64)
-            out.append((sums[self._last] ^ sums[self._first]).view(np.int64))
-        return out[0], out[1]
+        for values, first, last in places:
+            bits = np.uint64(1) << (values & np.uint64(63))
+            sums = np.concatenate([np.zeros(1, np.uint64), np.bitwise_xor.accumulate(bits)])
+            out.append((sums[last] ^ sums[first]).view(np.int64))
+        return out
 
     def _substring(self, segment: int, of_size: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         marks = of_size.astype(np.uint64) * np.uint64(0xA24BAED4963EE407) + np.uint64(segment * 0x9FB21C651E98DF25 % 2**64)
@@ -158,9 +164,8 @@ def _all_lines(batches: Batches) -> Iterator[pa.RecordBatch]:
 
 
 def _alike() -> Column:
-    """Whether two lines' words may be within the edits (necessary, not sufficient)."""
-    apart = [F.bit_count(F.col(f"l.{c}").bitwiseXOR(F.col(f"r.{c}"))) for c in ("p0", "p1")]
-    return F.greatest(*apart) <= _WORDS_PER_EDIT * EDITS
+    """Whether two lines may be within the edits (necessary, not sufficient)."""
+    return reduce(and_, (F.bit_count(F.col(f"l.{c}").bitwiseXOR(F.col(f"r.{c}"))) <= n * EDITS for c, n in _PER_EDIT.items()))
 
 
 def candidates(texts: DataFrame, lines: DataFrame) -> DataFrame:
@@ -173,16 +178,14 @@ def candidates(texts: DataFrame, lines: DataFrame) -> DataFrame:
     def meeting(batches: Batches) -> Iterator[pa.RecordBatch]:
         """Index keys that several lines have, and probes that meet an index key."""
         for _, found in _sliced(batches):
-            p0, p1 = found.parity()
+            parity = [p[found.long] for p in found.parity()]
             h = found.key[found.long]
             for probe, keys, known in ((False, found.index(), several.value), (True, found.probes(), every.value)):
                 at, which = np.nonzero(hits(keys.view(np.uint64), known))
-                arrays = [keys[at, which], h[at], p0[found.long][at], p1[found.long][at]]
-                yield pa.RecordBatch.from_arrays(
-                    [*map(pa.array, arrays), pa.array(np.full(len(at), probe))], ["key", "h", "p0", "p1", "probe"]
-                )
+                arrays = [keys[at, which], h[at], *(p[at] for p in parity), np.full(len(at), probe)]
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, arrays)), ["key", "h", *_PER_EDIT, "probe"])
 
-    rows = texts.mapInArrow(meeting, "key long, h long, p0 long, p1 long, probe boolean").distinct()
+    rows = texts.mapInArrow(meeting, "key long, h long, p0 long, p1 long, p2 long, probe boolean").distinct()
     rows = common.stored(rows, "line-rows")
     index, probes = rows.where("not probe"), rows.where("probe")
     pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
