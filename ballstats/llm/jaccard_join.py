@@ -5,14 +5,22 @@ other and from any pivot, where the triangle inequality tells nothing; so pivots
 blocks. A set's signature are its rarest shingles, so many that two sets within the radius must share
 one; a block holds the sets that share a signature shingle, and a set falls into as many blocks.
 
-Each block has a pivot, and every set is compared with the pivots of its blocks. Sets within the radius
-``r`` of a pivot are its region and are linked through it. For a set beyond, at distance d > r, the
-triangle inequality leaves as partners only sets of the region from d - r on: these boundary sets are
-replicated into the rest, which is joined again by itself. There, pairs are left out whose distances to
-the old pivot differ by more than r, or that are in one component already. Blocks of few sets are then
-joined by all pairs that these windows leave; larger ones get new pivots, four times as many at each
-level, taken from sets that no pivot has reached. So a block of n near copies costs about n
-comparisons, and every pair within the radius is linked, directly or through its pivots.
+Each block has a pivot, with which all its sets are compared. Sets within the radius ``r`` of the pivot are its region and are linked through it. For a set
+beyond, at distance d > r, the triangle inequality leaves as partners only sets of the region from d - r
+on: these boundary sets are replicated into the rest, which is joined again by itself, with new pivots,
+four times as many at each level, taken from sets that no pivot has reached, until few are left. Pairs
+that these windows exclude, or that are in one component already, are never compared. So a block of n
+near copies costs about n comparisons, and every pair within the radius is linked, directly or through
+its pivots.
+
+Pairs are compared in two steps. Counts of a set's shingles in ``CELLS`` cells of the hash space are
+compared first: the sum of their minima over the sum of their maxima is no less than the Jaccard index,
+so that their distance is a lower bound. Only where it is within the radius are whole sets fetched.
+
+Two sets whose first common shingle, in the order of signatures, stands at places i and j share at most
+what follows: min(n - i, m - j) shingles. Pairs of a block for which that is too few are left out; they
+meet at their first common shingle if they are within the radius. That keeps texts apart that share one
+frequent passage and little else.
 
 What reaches the driver or all tasks is of fixed size: the ``FREQUENT`` most frequent shingles, which
 only order signatures, and bitmaps of ``BITS`` bits, which only leave out what cannot matter. Equal
@@ -40,8 +48,9 @@ from ballstats.llm.components import components
 LEAST, PER = 75, 100
 FREQUENT = 1 << 17
 BITS = 1 << 25
-#: Blocks of up to so many sets are joined by all pairs that the windows leave.
+#: Blocks of up to so many sets are joined by all pairs that pivots leave.
 FEW = 24
+CELLS = 256
 #: New pivots of a larger block at its first further level; four times as many at each one after.
 PIVOTS = 16
 #: Texts whose shingles are counted together before what is rare among them is left out.
@@ -118,75 +127,127 @@ def hits(values: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
     return (bitmap[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _distance(shared: Column, left: Column, right: Column) -> Column:
-    return 1.0 - shared / (left + right - shared)
+_MOST = 65535
+_SLACK = 1e-9
+RADIUS = 1 - LEAST / PER
 
 
-def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (``g``, ``p``) with their exact distance ``d`` and whether they are ``linked``."""
+def cells_of(items: np.ndarray) -> bytes:
+    """How many of a set's shingles fall into each cell, as 16-bit numbers."""
+    counts = np.bincount((items >> np.uint64(56)).astype(np.int64), minlength=CELLS)
+    return np.minimum(counts, _MOST).astype("<u2").tobytes()
+
+
+def cell_distance(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """Lower bounds of the distances of sets, by their cells; 0 where a count is too large to be told."""
+    x, y = (np.frombuffer(b"".join(part), "<u2").reshape(-1, CELLS) for part in (left, right))
+    low = 1 - np.minimum(x, y).sum(1) / np.maximum(np.maximum(x, y).sum(1), 1)
+    return np.where(np.maximum(x, y).max(1, initial=0) == _MOST, 0.0, low)
+
+
+def _pair(left: Column, right: Column, left_size: Column, right_size: Column) -> list[Column]:
+    """The smaller hash as ``g``, the larger as ``p``, and the least distance that the sizes allow."""
+    ratio = F.least(left_size, right_size) / F.greatest(left_size, right_size)
+    return [F.least(left, right).alias("g"), F.greatest(left, right).alias("p"), (1.0 - ratio).alias("d")]
+
+
+def _can_share_enough(n: str, at: str, m: str, at_other: str) -> Column:
+    """Whether two sets may be within the radius if a shingle at these places is the first that they share."""
+    return F.least(F.col(n) - F.col(at), F.col(m) - F.col(at_other)) * (LEAST + PER) >= (F.col(n) + F.col(m)) * LEAST
+
+
+def _bounded(pairs: DataFrame, cells: DataFrame) -> DataFrame:
+    """Pairs with a better lower bound ``d`` of their distance, where the sizes' bound is within the radius."""
+
+    def bound(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            d = cell_distance(batch.column("x").to_pylist(), batch.column("y").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("g"), batch.column("p"), pa.array(d)], ["g", "p", "d"])
+
+    left, right = cells.select("g", F.col("cells").alias("x")), cells.select(F.col("g").alias("p"), F.col("cells").alias("y"))
+    within = F.col("d") <= RADIUS + _SLACK
+    both = pairs.where(within).select("g", "p").join(left, "g").join(right, "p").select("g", "p", "x", "y")
+    return both.mapInArrow(bound, "g long, p long, d double").unionByName(pairs.where(~within))
+
+
+def _exact(bounded: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs of ``bounded`` within the radius, with their exact distance and whether they are ``linked``."""
     left = sets.select("g", F.col("items").alias("own"))
     right = sets.select(F.col("g").alias("p"), F.col("items").alias("other"))
-    both = pairs.join(left, "g").join(right, "p")
+    both = bounded.where(F.col("d") <= RADIUS + _SLACK).select("g", "p").join(left, "g").join(right, "p")
     shared = F.size(F.array_intersect("own", "other"))
-    sizes = both.select("g", "p", shared.alias("shared"), F.size("own").alias("m"), F.size("other").alias("n"))
-    union = F.col("m") + F.col("n") - F.col("shared")
-    return sizes.select(
-        "g", "p", _distance(F.col("shared"), F.col("m"), F.col("n")).alias("d"), (F.col("shared") * PER >= union * LEAST).alias("linked")
-    )
+    sizes = both.select("g", "p", shared.alias("shared"), (F.size("own") + F.size("other")).alias("both"))
+    union = F.col("both") - F.col("shared")
+    return sizes.select("g", "p", (1.0 - F.col("shared") / union).alias("d"), (F.col("shared") * PER >= union * LEAST).alias("linked"))
 
 
 def _none_left(df: DataFrame) -> bool:
     return df.limit(1).count() == 0
 
 
-def links(blocks: DataFrame, sets: DataFrame) -> list[DataFrame]:
+def links(blocks: DataFrame, cells: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> list[DataFrame]:
     """Links (``g``, ``p``) that connect all sets within the radius of each other.
 
-    ``blocks`` has rows (``b``, ``g``, ``p``): block, set, and the block's pivot.
+    ``blocks`` has rows (``b``, ``g``, ``n``, ``at``, ``m``, ``p``, ``np``): block, set, its size and the
+    place of the block's shingle in it, and of the block its number of sets, its pivot and that one's size; ``sets_of`` makes the table of whole sets
+    (``g``, ``items``) for given ones.
     """
-    radius = 1 - LEAST / PER
-    slack = 1e-9
-    compared = common.stored(_compared(blocks.where("g <> p").select("g", "p").distinct(), sets), "jaccard-pivots")
+    col = F.col
+    starred = blocks.where("g <> p")
+    with_pivot = _pair(col("g"), col("p"), col("n"), col("np"))
+    pivoted = common.stored(_bounded(starred.select(*with_pivot).distinct(), cells), "jaccard-pivoted")
+    low_high = [x.alias(name) for x, name in zip(with_pivot[:2], ("low", "high"), strict=True)]
+    bounds = pivoted.select(col("g").alias("low"), col("p").alias("high"), "d")
+    placed = starred.select("b", "g", "n", "at", "m", *low_high).join(bounds, ["low", "high"])
+    placed = common.stored(placed.withColumn("close", col("d") <= RADIUS + _SLACK), "jaccard-placed")
+    # In a small block, pairs with a set that is surely beyond the pivot's radius; the rest follows below.
+    few = placed.where(col("m") <= FEW).select("b", "g", "n", "at", "close")
+    other = few.select("b", col("g").alias("h"), col("n").alias("nh"), col("at").alias("ah"), col("close").alias("close_h"))
+    more = few.join(other, "b").where(F.expr("g < h and not (close and close_h)") & _can_share_enough("n", "at", "nh", "ah"))
+    more = more.select(*_pair(col("g"), col("h"), col("n"), col("nh"))).distinct().join(pivoted, ["g", "p"], "left_anti")
+    bounded = common.stored(pivoted.unionByName(_bounded(more, cells)), "jaccard-bounds")
+    near_enough = bounded.where(col("d") <= RADIUS + _SLACK)
+    large = placed.where(col("m") > FEW)
+    sets = sets_of(near_enough.select("g").union(near_enough.select("p")).union(large.select("g")))
+    compared = common.stored(_exact(bounded, sets), "jaccard-first")
     found = [compared.where("linked").select("g", "p")]
-    # d: distance to the block's first pivot; near: in the component of that pivot.
-    rest = blocks.where("g <> p").join(compared, ["g", "p"]).select("b", "g", "d", F.col("linked").alias("near"))
-    level = 0
+    # d: distance to the block's first pivot, or a lower bound beyond the radius; near: in its component.
+    exact = compared.select(col("g").alias("low"), col("p").alias("high"), col("d").alias("exact"), "linked")
+    rest = placed.where((col("m") > FEW) | col("close")).join(exact, ["low", "high"], "left")
+    rest = rest.select("b", "g", "n", "at", F.coalesce("exact", "d").alias("d"), F.coalesce("linked", F.lit(False)).alias("near"))
+    known, level = bounded.select("g", "p"), 0
     while True:
         # Boundary: sets near the pivot that one beyond may reach. Blocks with none beyond are done.
-        beyond = rest.where("not near").groupBy("b").agg(F.min("d").alias("nearest"), F.max("d").alias("furthest"), F.count("*").alias("n_beyond"))
-        kept = rest.join(beyond, "b").where(f"not near or d >= nearest - {radius + slack}").drop("nearest", "furthest")
+        beyond = rest.where("not near").groupBy("b").agg(F.min("d").alias("nearest"))
+        kept = rest.join(beyond, "b").where(F.expr(f"not near or d >= nearest - {RADIUS + _SLACK}")).drop("nearest")
         rest = common.stored(kept, f"jaccard-rest-{level}")
         if _none_left(rest):
             return found
-        sized = rest.groupBy("b").agg(F.count("*").alias("size"))
-        rest = rest.drop("n_beyond").join(sized, "b")
-        # Pivots: all sets beyond in a small block, a growing number of them in a larger one.
-        most = PIVOTS * 4**level
+        rest = rest.join(rest.groupBy("b").agg(F.count("*").alias("size")), "b")
+        # Pivots: all sets beyond if few are left, or a growing number of them.
         rank = F.row_number().over(Window.partitionBy("b").orderBy("g"))
-        ranked = rest.where("not near").withColumn("rank", rank)
-        pivots = ranked.where(F.col("rank") <= F.when(F.col("size") <= FEW, FEW).otherwise(F.lit(most)))
-        pivots = pivots.select("b", F.col("g").alias("p"), F.col("d").alias("dp"))
-        # Two pivots meet once; windows leave out what the first pivot's distances exclude.
-        tried = (
-            rest.join(pivots, "b")
-            .where((F.col("g") != F.col("p")) & (F.abs(F.col("d") - F.col("dp")) <= radius + slack))
-            .select("b", "g", "p", "near")
-        )
+        most = F.when(col("size") <= FEW, FEW).otherwise(F.lit(PIVOTS * 4**level))
+        pivots = rest.where("not near").withColumn("rank", rank).where(col("rank") <= most)
+        pivots = common.stored(pivots.select("b", col("g").alias("p"), col("n").alias("np"), col("at").alias("ap"), col("d").alias("dp")), f"jaccard-pivots-{level}")
+        window = F.expr(f"not near or d >= dp - {RADIUS + _SLACK}") & (F.least("n", "np") * PER >= F.greatest("n", "np") * LEAST)
+        window = window & _can_share_enough("n", "at", "np", "ap")
+        tried = rest.join(pivots, "b").where(window & (col("g") != col("p"))).select("b", "g", "n", "p", "np", "near")
         tried = common.stored(tried, f"jaccard-tried-{level}")
-        distances = common.stored(_compared(tried.select(F.least("g", "p").alias("g"), F.greatest("g", "p").alias("p")).distinct(), sets), f"jaccard-level-{level}")
-        linked = distances.where("linked").select("g", "p")
+        pairs = tried.select(*_pair(col("g"), col("p"), col("n"), col("np"))).distinct().join(known, ["g", "p"], "left_anti")
+        close = common.stored(_bounded(pairs, cells).where(col("d") <= RADIUS + _SLACK), f"jaccard-close-{level}")
+        wanted = common.stored(close.select("g").union(close.select("p")).distinct(), f"jaccard-wanted-{level}")
+        linked = common.stored(_exact(close, sets.join(wanted, "g", "left_semi")).where("linked").select("g", "p"), f"jaccard-links-{level}")
         found.append(linked)
+        known = known.union(pairs.select("g", "p"))
         # Pivots are done. A set linked to a pivot that reaches the near sets is near as well.
-        both_ways = linked.union(linked.select("p", "g"))
-        ties = tried.join(both_ways, ["g", "p"])
+        ties = tried.join(linked.union(linked.select("p", "g")), ["g", "p"])
         reaching = ties.where("near").select("b", "p").distinct()
         turned = ties.where("not near").join(reaching, ["b", "p"], "left_semi").select("b", "g").distinct().withColumn("turned", F.lit(True))
-        done = pivots.select("b", F.col("p").alias("g"))
         rest = (
-            rest.where(F.col("size") > FEW)
-            .join(done, ["b", "g"], "left_anti")
+            rest.where(col("size") > FEW)
+            .join(pivots.select("b", col("p").alias("g")), ["b", "g"], "left_anti")
             .join(turned, ["b", "g"], "left")
-            .select("b", "g", "d", (F.col("near") | F.coalesce("turned", F.lit(False))).alias("near"))
+            .select("b", "g", "n", "at", F.when(col("turned"), 1.0).otherwise(col("d")).alias("d"), (col("near") | F.coalesce("turned", F.lit(False))).alias("near"))
         )
         level += 1
 
@@ -209,29 +270,47 @@ def grouped(docs: DataFrame) -> DataFrame:
     def with_hits(batches: Batches) -> Iterator[pa.RecordBatch]:
         """Of each signature, what other documents' may hold as well."""
         for ids, found in _sets(batches):
-            some = [(s := signature(items, often.value))[hits(s, shared.value)] for items in found]
+            signed = [signature(items, often.value) for items in found]
+            places = [np.flatnonzero(hits(s, shared.value)).astype(np.uint64) for s in signed]
+            some = [s[at.astype(np.int64)] for s, at in zip(signed, places, strict=True)]
             own = [shingles.set_hash(items) if len(items) else None for items in found]
             n = [len(items) for items in found]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(own, pa.int64()), pa.array(n, pa.int64()), _lists(some)], ["doc_id", "g", "n", "hits"])
+            cells = [cells_of(items) if len(s) else None for items, s in zip(found, some, strict=True)]
+            arrays = [pa.array(ids, pa.int64()), pa.array(own, pa.int64()), pa.array(n, pa.int64()), _lists(some), _lists(places), pa.array(cells, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "g", "n", "hits", "places", "cells"])
 
-    every = common.stored(texts.mapInArrow(with_hits, "doc_id long, g long, n long, hits array<long>"), "jaccard-documents")
-    rows = every.select(F.explode("hits").alias("s"), "g").distinct()
+    every = common.stored(
+        texts.mapInArrow(with_hits, "doc_id long, g long, n long, hits array<long>, places array<long>, cells binary"), "jaccard-documents"
+    )
+    shingle = F.explode(F.arrays_zip("hits", "places")).alias("x")
+    rows = every.select(shingle, "g", "n").select(F.col("x.hits").alias("s"), "g", "n", F.col("x.places").alias("at")).distinct()
     rows = common.stored(rows, "jaccard-rows")
-    # Blocks with the same sets count once; their sets' hashes, XORed, tell them apart.
-    described = rows.groupBy("s").agg(F.count("*").alias("m"), F.min("g").alias("p"), F.bit_xor(F.xxhash64("g")).alias("sets"))
-    chosen = described.where("m > 1").groupBy("m", "p", "sets").agg(F.min("s").alias("s"))
-    blocks = common.stored(rows.join(chosen, "s").select(F.col("s").alias("b"), "g", "p"), "jaccard-blocks")
-    wanted = share(bitmap(blocks.select("g"), "g"))
-
-    def whole_sets(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for _, found in _sets(batches):
-            own = np.array([shingles.set_hash(items) if len(items) else 0 for items in found], np.int64)
-            keep = np.flatnonzero(hits(own.view(np.uint64), wanted.value) & np.array([len(x) > 0 for x in found]))
-            if len(keep):
-                yield pa.RecordBatch.from_arrays([pa.array(own[keep]), _lists([found[k] for k in keep])], ["g", "items"])
-
-    sets = common.stored(texts.mapInArrow(whole_sets, "g long, items array<long>").dropDuplicates(["g"]), "jaccard-sets")
-    found = links(blocks, sets)
+    # Blocks with the same sets, which their hashes, XORed, tell, count once: by the shingle that comes first.
+    described = rows.groupBy("s").agg(
+        F.count("*").alias("m"), F.min(F.struct("g", "n")).alias("p"), F.bit_xor(F.xxhash64("g")).alias("sets"), F.sum("at").alias("places")
+    )
+    chosen = described.where("m > 1").groupBy("m", "p", "sets").agg(F.min(F.struct("places", "s")).alias("first"))
+    chosen = chosen.select("m", "p", F.col("first.s").alias("s"))
+    named = rows.join(chosen, "s").select(F.col("s").alias("b"), "g", "n", "at", "m", F.col("p.g").alias("p"), F.col("p.n").alias("np"))
+    blocks = common.stored(named, "jaccard-blocks")
+    inside = blocks.select("g").distinct()
+    cells = common.stored(every.where("cells is not null").select("g", "cells").join(inside, "g", "left_semi").dropDuplicates(["g"]), "jaccard-cells")
+
+    def sets_of(some: DataFrame) -> DataFrame:
+        wanted = share(bitmap(some, "g"))
+
+        def whole_sets(batches: Batches) -> Iterator[pa.RecordBatch]:
+            seen: set[int] = set()
+            for _, found in _sets(batches):
+                own = np.array([shingles.set_hash(items) if len(items) else 0 for items in found], np.int64)
+                fit = np.flatnonzero(hits(own.view(np.uint64), wanted.value) & np.array([len(x) > 0 for x in found]))
+                keep = [k for k in fit if own[k] not in seen and not seen.add(own[k])]
+                if keep:
+                    yield pa.RecordBatch.from_arrays([pa.array(own[keep]), _lists([found[k] for k in keep])], ["g", "items"])
+
+        return common.stored(texts.mapInArrow(whole_sets, "g long, items array<long>").dropDuplicates(["g"]), "jaccard-sets")
+
+    found = links(blocks, cells, sets_of)
     joined = found[0]
     for more in found[1:]:
         joined = joined.union(more)
