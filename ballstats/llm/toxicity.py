@@ -90,7 +90,7 @@ class Model:
         """Log-odds of the deepest node of the word that is known, less the drift."""
         found = self.seen.get(word)
         if found is None:
-            if len(self.seen) > 500_000:
+            if len(self.seen) > 200_000:
                 self.seen.clear()
             places = nodes_of(word)
             found = self.seen[word] = next(self.node[p] for p in reversed(places) if p in self.node) - DRIFT
