@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
-from math import ceil
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -30,8 +29,8 @@ except ImportError:  # the library works without them
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Streams of message files are read in this many micro-batches, however many files there are.
-MICRO_BATCHES = 3
+# Message files that a micro-batch reads, so that it is bounded however many there are.
+FILES_PER_TRIGGER = 3
 RECONCILED = ("top_wicket_takers", "highest_scorers", "run_rate_team")
 
 
@@ -72,8 +71,8 @@ def _streamed(name: str, mode: str = "complete") -> Query:
 def _message_stream(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     """The topic written out as messages and read back as a stream of several micro-batches."""
     path = session.fresh_path(spark, f"topic-{topic}")
-    n = topics.write_topic_files(fanout.topic_messages(_spread(spark, sf_dir), topic), path)
-    return topics.stream_topic_files(session.for_streams(spark), path, [topic], ceil(n / MICRO_BATCHES))
+    topics.write_topic_files(fanout.topic_messages(_spread(spark, sf_dir), topic), path)
+    return topics.stream_topic_files(session.for_streams(spark), path, [topic], FILES_PER_TRIGGER)
 
 
 def _upserted(name: str) -> Query:

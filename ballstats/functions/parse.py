@@ -21,11 +21,16 @@ def canonical(df: DataFrame) -> DataFrame:
     )
     for over, ball in (("over_num", "ball_num"), ("over", "ball")):
         if {over, ball} <= present:
-            joined = F.concat(F.col(over).cast("string"), F.lit("."), F.col(ball).cast("string"))
+            joined = _over_and_ball(F.col(over).cast("string"), F.col(ball).cast("string"))
             return df.withColumn("_over", joined).drop(over, ball).withColumnRenamed("_over", "over")
     return df
 
 
+def _over_and_ball(over: Column, ball: Column) -> Column:
+    """``o.b``; an over that has its ball already stays as it is."""
+    return F.when(F.contains(over, F.lit(".")), over).otherwise(F.concat(over, F.lit("."), ball))
+
+
 def typed(df: DataFrame, legal_only: bool = False) -> DataFrame:
     """Cast the numeric fields that are there and add ``total_runs`` and ``balls``.
 
@@ -86,7 +91,7 @@ def decode_raw(messages: DataFrame) -> DataFrame:
     rows = _readable(messages, [*schemas.RAW_FIELDS, "ball", *schemas.FIELD_ALIASES])
     for alias, name in schemas.FIELD_ALIASES.items():
         rows = rows.withColumn(name, F.coalesce(name, alias))
-    over = F.when(F.col("ball").isNull(), F.col("over")).otherwise(F.concat_ws(".", "over", "ball"))
+    over = F.when(F.col("ball").isNull(), F.col("over")).otherwise(_over_and_ball(F.col("over"), F.col("ball")))
     return rows.withColumn("over", over).select(*schemas.RAW_FIELDS)
 
 

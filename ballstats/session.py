@@ -25,8 +25,6 @@ CONF = {
     **STREAMING_CONF,
     **_WRITERS,
 }
-_INHERITED = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")
-_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def build(app: str, **conf: str) -> SparkSession:
@@ -39,14 +37,13 @@ def build(app: str, **conf: str) -> SparkSession:
 def for_streams(spark: SparkSession) -> SparkSession:
     """A session beside ``spark`` with the state store settings, so that the caller's stay as they are.
 
-    State is split as the session says, but into at most two parts per core: every part costs
-    files at every trigger. A query keeps the number it was first started with.
+    All other settings are the caller's, those made at run time too; so state is split as the session
+    says. A query keeps the number of parts it was first started with.
     """
     session = spark.newSession()
-    most = 2 * spark.sparkContext.defaultParallelism
-    session.conf.set(_PARTITIONS, min(int(spark.conf.get(_PARTITIONS)), most))
-    for key in _INHERITED:
-        session.conf.set(key, spark.conf.get(key))
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            session.conf.set(key, value)
     for key, value in {**STREAMING_CONF, **_WRITERS}.items():
         session.conf.set(key, value)
     return session

@@ -13,16 +13,24 @@ def _blank_for_missing(df: DataFrame) -> DataFrame:
     return canonical(df.na.fill(""))
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns named by the header, as text."""
-    return _blank_for_missing(spark.read.option("header", True).option("inferSchema", False).csv(path))
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """All columns named by the header, as text; a quote inside a field is doubled.
+
+    ``multi_line`` is for fields with line breaks; such files are read by one task each.
+    """
+    reader = spark.read.options(header=True, inferSchema=False, escape='"', multiLine=multi_line)
+    return _blank_for_missing(reader.csv(path))
 
 
 def stream_csv(
-    spark: SparkSession, path: str, fields: list[str] | None = None, max_files_per_trigger: int = 1000
+    spark: SparkSession, path: str, fields: list[str] | None = None, max_files_per_trigger: int = 1000, multi_line: bool = False
 ) -> DataFrame:
-    """CSV files as they appear in a directory; ``fields`` are the columns in file order."""
-    reader = spark.readStream.schema(schemas.strings(fields or schemas.CSV_FIELDS)).option("header", True)
+    """CSV files as they appear in a directory; ``fields`` are the columns in file order.
+
+    A file whose header says otherwise fails the query.
+    """
+    reader = spark.readStream.schema(schemas.strings(fields or schemas.CSV_FIELDS))
+    reader = reader.options(header=True, enforceSchema=False, escape='"', multiLine=multi_line)
     return _blank_for_missing(reader.option("maxFilesPerTrigger", max_files_per_trigger).csv(path))
 
 

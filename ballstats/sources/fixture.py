@@ -17,9 +17,9 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1000) -> DataFrame:
-    # As a pattern the path may be one file as well as a directory of files.
+    # As a pattern, which matches this name only, the path may be one file as well as a directory of files.
     reader = spark.readStream.schema(LINEITEM).option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(f"{sf_dir}/lineitem.parquet*")
+    return reader.parquet(f"{sf_dir}/lineitem.parque[t]")
 
 
 def deliveries(items: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

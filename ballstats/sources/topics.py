@@ -42,10 +42,9 @@ def write_kafka(messages: DataFrame, servers: str) -> None:
     messages.select("topic", "value").write.format("kafka").option("kafka.bootstrap.servers", servers).save()
 
 
-def write_topic_files(messages: DataFrame, path: str) -> int:
-    """Append messages to their topics' directories; returns the number of files per topic."""
+def write_topic_files(messages: DataFrame, path: str) -> None:
+    """Append messages to their topics' directories."""
     messages.select("topic", "value").write.mode("append").partitionBy("topic").parquet(path)
-    return messages.rdd.getNumPartitions()
 
 
 def read_topic_files(spark: SparkSession, path: str, topics: Sequence[str]) -> DataFrame:

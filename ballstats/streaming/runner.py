@@ -145,9 +145,11 @@ def start_store(messages: DataFrame, path: str, trigger: Trigger | None = None)
     return _writer(messages, "store", path, "append", trigger).foreachBatch(write).start()
 
 
-def finish(query: StreamingQuery, timeout: int = 3600) -> None:
-    """Wait for a query that ends by itself."""
-    if not query.awaitTermination(timeout):
+def finish(query: StreamingQuery, timeout: int | None = None) -> None:
+    """Wait for a query that ends by itself, as long as it takes unless a ``timeout`` in seconds is given."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"{query.name} did not end within {timeout} s")
 

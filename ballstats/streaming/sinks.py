@@ -1,7 +1,8 @@
 """Where streamed results go.
 
 Each micro-batch writes a directory of its own, ``batch_id=<n>``: repeating the batch replaces
-it, and readers of older ones are not disturbed. What is no longer needed is removed later.
+it, and readers of older ones are not disturbed. Readers of snapshots take directories only whose
+write has been committed, which Spark marks by a file ``_SUCCESS``. What is no longer needed is removed later.
 """
 
 from __future__ import annotations
@@ -24,6 +25,13 @@ def _remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def committed(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the micro-batches under ``path`` that are written as a whole, in ascending order."""
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id=*/_SUCCESS")
+    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks)
+    return sorted(int(mark.getPath().getParent().getName().removeprefix("batch_id=")) for mark in found or [])
+
+
 def snapshot_writer(
     path: str, finish: Callable[[DataFrame], DataFrame] | None = None, kept: int = KEPT_SNAPSHOTS
 ) -> BatchWriter:
@@ -38,9 +46,11 @@ def snapshot_writer(
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    kept = spark.read.parquet(path)
-    newest = kept.agg(F.max("batch_id")).scalar()
-    return kept.where(F.col("batch_id") == newest).drop("batch_id")
+    """The newest full result that has been written as a whole."""
+    found = committed(spark, path)
+    if not found:
+        raise ValueError(f"no result has been written under {path} yet")
+    return spark.read.parquet(f"{path}/batch_id={found[-1]}")
 
 
 def change_writer(path: str, keys: tuple[str, ...], fold_every: int = FOLD_EVERY) -> BatchWriter:
