@@ -22,6 +22,9 @@ what follows: min(n - i, m - j) shingles. Pairs of a block for which that is too
 meet at their first common shingle if they are within the radius. That keeps texts apart that share one
 frequent passage and little else.
 
+Components are kept up to date as links are found, level by level, so that near copies which many
+blocks hold are compared in one of them.
+
 What reaches the driver or all tasks is of fixed size: the ``FREQUENT`` most frequent shingles, which
 only order signatures, and bitmaps of ``BITS`` bits, which only leave out what cannot matter. Equal
 sets have one 64-bit hash, which stands for them throughout.
@@ -170,27 +173,44 @@ def _bounded(pairs: DataFrame, cells: DataFrame) -> DataFrame:
     return both.mapInArrow(bound, "g long, p long, d double").unionByName(pairs.where(~within))
 
 
-def _exact(bounded: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs of ``bounded`` within the radius, with their exact distance and whether they are ``linked``."""
-    left = sets.select("g", F.col("items").alias("own"))
-    right = sets.select(F.col("g").alias("p"), F.col("items").alias("other"))
-    both = bounded.where(F.col("d") <= RADIUS + _SLACK).select("g", "p").join(left, "g").join(right, "p")
-    shared = F.size(F.array_intersect("own", "other"))
+def _exact(bounded: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+    """The pairs of ``bounded`` within the radius, with their exact distance and whether they are ``linked``.
+
+    Both sets of a pair meet under the pair's own key, so that a frequent pivot is not one task's.
+    """
+    pairs = common.stored(bounded.where(F.col("d") <= RADIUS + _SLACK).select("g", "p"), f"jaccard-{name}-pairs")
+    left = pairs.join(sets, "g").select("g", "p", F.col("items").alias("own"))
+    right = pairs.join(sets.select(F.col("g").alias("p"), F.col("items").alias("other")), "p").select("g", "p", "other")
+    both, shared = left.join(right, ["g", "p"]), F.size(F.array_intersect("own", "other"))
     sizes = both.select("g", "p", shared.alias("shared"), (F.size("own") + F.size("other")).alias("both"))
     union = F.col("both") - F.col("shared")
-    return sizes.select("g", "p", (1.0 - F.col("shared") / union).alias("d"), (F.col("shared") * PER >= union * LEAST).alias("linked"))
+    compared = sizes.select("g", "p", (1.0 - F.col("shared") / union).alias("d"), (F.col("shared") * PER >= union * LEAST).alias("linked"))
+    return common.stored(compared, f"jaccard-{name}")
 
 
 def _none_left(df: DataFrame) -> bool:
     return df.limit(1).count() == 0
 
 
-def links(blocks: DataFrame, cells: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> list[DataFrame]:
-    """Links (``g``, ``p``) that connect all sets within the radius of each other.
+def _apart(pairs: DataFrame, labels: DataFrame, left: str = "g", right: str = "p") -> DataFrame:
+    """``pairs`` with ``one``: whether links found so far connect the two sets."""
+    for column in (left, right):
+        named = labels.select(F.col("node").alias(column), F.col("label").alias(f"_{column}"))
+        pairs = pairs.join(named, column, "left")
+    one = F.coalesce(f"_{left}", left) == F.coalesce(f"_{right}", right)
+    return pairs.withColumn("one", one).drop(f"_{left}", f"_{right}")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select("g").union(pairs.select("p")).distinct()
+
+
+def links(blocks: DataFrame, cells: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Components of the sets that links connect: ``node`` and ``label``, for every set with a link.
 
     ``blocks`` has rows (``b``, ``g``, ``n``, ``at``, ``m``, ``p``, ``np``): block, set, its size and the
-    place of the block's shingle in it, and of the block its number of sets, its pivot and that one's size; ``sets_of`` makes the table of whole sets
-    (``g``, ``items``) for given ones.
+    place of the block's shingle in it, and of the block its number of sets, its pivot, which is its smallest
+    set, and that one's size; ``sets_of`` makes the table of whole sets (``g``, ``items``) for given ones.
     """
     col = F.col
     starred = blocks.where("g <> p")
@@ -207,22 +227,32 @@ def links(blocks: DataFrame, cells: DataFrame, sets_of: Callable[[DataFrame], Da
     more = more.select(*_pair(col("g"), col("h"), col("n"), col("nh"))).distinct().join(pivoted, ["g", "p"], "left_anti")
     bounded = common.stored(pivoted.unionByName(_bounded(more, cells)), "jaccard-bounds")
     near_enough = bounded.where(col("d") <= RADIUS + _SLACK)
-    large = placed.where(col("m") > FEW)
-    sets = sets_of(near_enough.select("g").union(near_enough.select("p")).union(large.select("g")))
-    compared = common.stored(_exact(bounded, sets), "jaccard-first")
-    found = [compared.where("linked").select("g", "p")]
-    # d: distance to the block's first pivot, or a lower bound beyond the radius; near: in its component.
-    exact = compared.select(col("g").alias("low"), col("p").alias("high"), col("d").alias("exact"), "linked")
-    rest = placed.where((col("m") > FEW) | col("close")).join(exact, ["low", "high"], "left")
-    rest = rest.select("b", "g", "n", "at", F.coalesce("exact", "d").alias("d"), F.coalesce("linked", F.lit(False)).alias("near"))
+    sets = sets_of(_ends(near_enough))
+    # Each set with one other first. Of the other pairs, those that no links connect by then are left.
+    first = near_enough.groupBy("p").agg(F.min("g").alias("g")).withColumn("d", F.lit(0.0))
+    compared = _exact(first, sets, "first")
+    labels = components(compared.where("linked"), "g", "p")
+    second = _apart(near_enough.join(first.select("g", "p"), ["g", "p"], "left_anti"), labels).where("not one")
+    second = _exact(second, sets, "second")
+    labels = _joined(labels, second)
+    # near: in the component of the block's pivot. Blocks with none beyond are done.
+    exact = compared.unionByName(second).select(col("g").alias("low"), col("p").alias("high"), col("d").alias("exact"))
+    rest = _apart(placed.where((col("m") > FEW) | col("close")), labels, "low", "high").withColumnRenamed("one", "near")
+    rest = rest.join(rest.where("not near").select("b").distinct(), "b", "left_semi").join(exact, ["low", "high"], "left")
+    rest = common.stored(rest, "jaccard-rest")
+    # d: exact distance to the pivot; where it is unknown, no more than it is for sets beyond, no less for near ones.
+    unknown = rest.where("near and exact is null and close").select(col("low").alias("g"), col("high").alias("p"), "d").distinct()
+    third = _exact(unknown, sets, "third").select(col("g").alias("low"), col("p").alias("high"), col("d").alias("later"))
+    d = F.coalesce("exact", "later", F.when(col("near"), 1.0).otherwise(col("d")))
+    rest = rest.join(third, ["low", "high"], "left").select("b", "g", "n", "at", "low", d.alias("d"), "near")
     known, level = bounded.select("g", "p"), 0
     while True:
-        # Boundary: sets near the pivot that one beyond may reach. Blocks with none beyond are done.
+        # Boundary: sets near the pivot that one beyond may reach.
         beyond = rest.where("not near").groupBy("b").agg(F.min("d").alias("nearest"))
         kept = rest.join(beyond, "b").where(F.expr(f"not near or d >= nearest - {RADIUS + _SLACK}")).drop("nearest")
         rest = common.stored(kept, f"jaccard-rest-{level}")
         if _none_left(rest):
-            return found
+            return labels
         rest = rest.join(rest.groupBy("b").agg(F.count("*").alias("size")), "b")
         # Pivots: all sets beyond if few are left, or a growing number of them.
         rank = F.row_number().over(Window.partitionBy("b").orderBy("g"))
@@ -231,27 +261,30 @@ def links(blocks: DataFrame, cells: DataFrame, sets_of: Callable[[DataFrame], Da
         pivots = common.stored(pivots.select("b", col("g").alias("p"), col("n").alias("np"), col("at").alias("ap"), col("d").alias("dp")), f"jaccard-pivots-{level}")
         window = F.expr(f"not near or d >= dp - {RADIUS + _SLACK}") & (F.least("n", "np") * PER >= F.greatest("n", "np") * LEAST)
         window = window & _can_share_enough("n", "at", "np", "ap")
-        tried = rest.join(pivots, "b").where(window & (col("g") != col("p"))).select("b", "g", "n", "p", "np", "near")
-        tried = common.stored(tried, f"jaccard-tried-{level}")
-        pairs = tried.select(*_pair(col("g"), col("p"), col("n"), col("np"))).distinct().join(known, ["g", "p"], "left_anti")
+        tried = rest.join(pivots, "b").where(window & (col("g") != col("p"))).select(*_pair(col("g"), col("p"), col("n"), col("np"))).distinct()
+        pairs = _apart(tried.join(known, ["g", "p"], "left_anti"), labels).where("not one").drop("one")
+        pairs = common.stored(pairs, f"jaccard-pairs-{level}")
         close = common.stored(_bounded(pairs, cells).where(col("d") <= RADIUS + _SLACK), f"jaccard-close-{level}")
-        wanted = common.stored(close.select("g").union(close.select("p")).distinct(), f"jaccard-wanted-{level}")
-        linked = common.stored(_exact(close, sets.join(wanted, "g", "left_semi")).where("linked").select("g", "p"), f"jaccard-links-{level}")
-        found.append(linked)
+        absent = common.stored(_ends(close).join(sets, "g", "left_anti"), f"jaccard-absent-{level}")
+        if not _none_left(absent):
+            sets = sets.union(sets_of(absent))
+        labels = _joined(labels, _exact(close, sets, f"links-{level}"))
         known = known.union(pairs.select("g", "p"))
-        # Pivots are done. A set linked to a pivot that reaches the near sets is near as well.
-        ties = tried.join(linked.union(linked.select("p", "g")), ["g", "p"])
-        reaching = ties.where("near").select("b", "p").distinct()
-        turned = ties.where("not near").join(reaching, ["b", "p"], "left_semi").select("b", "g").distinct().withColumn("turned", F.lit(True))
-        rest = (
-            rest.where(col("size") > FEW)
-            .join(pivots.select("b", col("p").alias("g")), ["b", "g"], "left_anti")
-            .join(turned, ["b", "g"], "left")
-            .select("b", "g", "n", "at", F.when(col("turned"), 1.0).otherwise(col("d")).alias("d"), (col("near") | F.coalesce("turned", F.lit(False))).alias("near"))
+        # Pivots are done. A set that links now connect to the block's pivot is near as well.
+        rest = _apart(
+            rest.where(col("size") > FEW).join(pivots.select("b", col("p").alias("g")), ["b", "g"], "left_anti"), labels, "g", "low"
         )
+        turned = F.when(col("one") & ~col("near"), 1.0).otherwise(col("d"))
+        rest = rest.select("b", "g", "n", "at", "low", turned.alias("d"), (col("near") | col("one")).alias("near"))
         level += 1
 
 
+def _joined(labels: DataFrame, compared: DataFrame) -> DataFrame:
+    """Components by ``labels`` and the links of ``compared``."""
+    links = compared.where("linked").select("g", "p")
+    return labels if _none_left(links) else components(labels.select(F.col("node").alias("g"), F.col("label").alias("p")).union(links), "g", "p")
+
+
 def grouped(docs: DataFrame) -> DataFrame:
     """Per document: ``n_shingles`` and ``component_id``, the smallest id that links can reach."""
     spark = docs.sparkSession
@@ -297,24 +330,24 @@ def grouped(docs: DataFrame) -> DataFrame:
     cells = common.stored(every.where("cells is not null").select("g", "cells").join(inside, "g", "left_semi").dropDuplicates(["g"]), "jaccard-cells")
 
     def sets_of(some: DataFrame) -> DataFrame:
-        wanted = share(bitmap(some, "g"))
+        """Read again from one document of each set: bitmaps tell which texts to look at, and which sets to keep."""
+        some = common.stored(every.join(some, "g", "left_semi").groupBy("g").agg(F.min("doc_id").alias("doc_id")), "jaccard-wanted")
+        wanted, chosen = share(bitmap(some, "g")), share(bitmap(some.where("doc_id is not null"), "doc_id"))
 
         def whole_sets(batches: Batches) -> Iterator[pa.RecordBatch]:
-            seen: set[int] = set()
-            for _, found in _sets(batches):
-                own = np.array([shingles.set_hash(items) if len(items) else 0 for items in found], np.int64)
-                fit = np.flatnonzero(hits(own.view(np.uint64), wanted.value) & np.array([len(x) > 0 for x in found]))
-                keep = [k for k in fit if own[k] not in seen and not seen.add(own[k])]
-                if keep:
-                    yield pa.RecordBatch.from_arrays([pa.array(own[keep]), _lists([found[k] for k in keep])], ["g", "items"])
-
-        return common.stored(texts.mapInArrow(whole_sets, "g long, items array<long>").dropDuplicates(["g"]), "jaccard-sets")
-
-    found = links(blocks, cells, sets_of)
-    joined = found[0]
-    for more in found[1:]:
-        joined = joined.union(more)
-    labels = components(joined, "g", "p")
+            for batch in batches:
+                ids = np.array(batch.column("doc_id").fill_null(0), np.int64).view(np.uint64)
+                batch = batch.filter(pa.array(hits(ids, chosen.value) | np.array(batch.column("doc_id").is_null())))
+                for _, found in _sets([batch]):
+                    own = np.array([shingles.set_hash(items) if len(items) else 0 for items in found], np.int64)
+                    keep = np.flatnonzero(hits(own.view(np.uint64), wanted.value) & np.array([len(x) > 0 for x in found], bool))
+                    if len(keep):
+                        yield pa.RecordBatch.from_arrays([pa.array(own[keep]), _lists([found[k] for k in keep])], ["g", "items"])
+
+        found = texts.mapInArrow(whole_sets, "g long, items array<long>").join(some.select("g"), "g", "left_semi")
+        return common.stored(found.dropDuplicates(["g"]), "jaccard-sets")
+
+    labels = links(blocks, cells, sets_of)
     named = every.select("doc_id", "n", "g").join(labels.withColumnRenamed("node", "g"), "g", "left")
     named = named.select("doc_id", "n", F.coalesce("label", "g").alias("group"))
     least = named.where(F.col("group").isNotNull()).groupBy("group").agg(F.min("doc_id").alias("component_id"))
