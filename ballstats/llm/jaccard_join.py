@@ -50,7 +50,7 @@ from ballstats.llm.components import components
 #: Two sets link if PER * intersection >= LEAST * union.
 LEAST, PER = 75, 100
 FREQUENT = 1 << 17
-BITS = 1 << 25
+BITS = 1 << 27
 #: Blocks of up to so many sets are joined by all pairs that pivots leave.
 FEW = 24
 CELLS = 256
