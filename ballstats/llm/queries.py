@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ballstats.llm import fingerprints, jaccard_join, language_id, line_dedup, packing, sentencepiece_codec, token_counts, topk_search, toxicity, url_filters
+from ballstats.llm import (
+    fill_in_middle, fingerprints, jaccard_join, language_id, line_dedup, packing, sentencepiece_codec, token_counts,
+    topk_search, toxicity, url_filters, vector_dedup, whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,7 +60,21 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.grouped(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
-    found = (op1_fingerprints, op2_packing, op3_line_dedup, op4_topk_search, op5_token_counts, op6_language_id, op7_sentencepiece, op8_url_filters, op9_toxicity)
-    found += (op10_jaccard_join,)
+    found = (
+        op1_fingerprints, op2_packing, op3_line_dedup, op4_topk_search, op5_token_counts, op6_language_id, op7_sentencepiece,
+        op8_url_filters, op9_toxicity, op10_jaccard_join, op11_fill_in_middle, op12_whitening, op13_vector_dedup,
+    )
     return {query.__name__: query for query in found}
