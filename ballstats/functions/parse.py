@@ -31,6 +31,17 @@ def _over_and_ball(over: Column, ball: Column) -> Column:
     return F.when(F.contains(over, F.lit(".")), over).otherwise(F.concat(over, F.lit("."), ball))
 
 
+def over_number(over: str) -> Column:
+    """The over of an ``o.b`` in text, as a whole number; null if it cannot be read."""
+    return F.substring_index(F.col(over).cast("string"), ".", 1).try_cast("int")
+
+
+def ball_number(over: str) -> Column:
+    """The ball of an ``o.b`` in text; null if there is none."""
+    text = F.col(over).cast("string")
+    return F.when(F.contains(text, F.lit(".")), F.substring_index(text, ".", -1)).try_cast("int")
+
+
 def typed(df: DataFrame, legal_only: bool = False) -> DataFrame:
     """Cast the numeric fields that are there and add ``total_runs`` and ``balls``.
 
@@ -56,20 +67,33 @@ def encode(*fields: str | Column) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
-_MALFORMED = "_malformed"
+_END = "_end"
 
 
-def _parsed(messages: DataFrame, names: list[str]) -> DataFrame:
-    # ``inline`` keeps later filters on the fields above the parsing. Without it they are pushed
-    # below, and the text is parsed again for every field they name.
-    schema = schemas.strings([*names, _MALFORMED])
-    fields = F.from_json("value", schema, {"columnNameOfCorruptRecord": _MALFORMED})
-    text = messages.select(F.col("value").cast("string").alias("value"))
-    return text.select(F.inline(F.when(F.trim("value") != "", F.array(fields))))
+def objects(text: Column, names: list[str]) -> Column:
+    """The fields of a message as an array of one struct; an empty array if the text is not one JSON object.
+
+    Spark's parser ends with the first value and takes no notice of what follows. So the message is parsed
+    as the first of two elements, of which the second holds a hash of the message: only if both are
+    there, and no third, is the text one value. A message cannot hold its own hash.
+    """
+    mark = F.xxhash64(text)
+    both = F.concat(F.lit("["), text, F.lit(f',{{"{_END}":'), mark.cast("string"), F.lit("}]"))
+    fields = ", ".join(f"`{name}`: string" for name in names)
+    found = F.from_json(both, f"array<struct<{fields}, `{_END}`: bigint>>", {"allowSingleQuotes": "false"})
+    # Parsed once: the array is looked at as a variable of a function.
+    whole = F.filter(
+        F.array(found),
+        lambda f: (F.size(f) == 2) & F.get(f, F.lit(0)).isNotNull() & F.coalesce(F.get(f, F.lit(1))[_END] == mark, F.lit(False)),
+    )
+    return F.transform(whole, lambda f: F.get(f, F.lit(0)))
 
 
 def _readable(messages: DataFrame, names: list[str]) -> DataFrame:
-    return _parsed(messages, names).where(F.col(_MALFORMED).isNull()).drop(_MALFORMED)
+    # ``inline`` keeps later filters on the fields above the parsing. Without it they are pushed
+    # below, and the text is parsed again for every field they name.
+    text = messages.select(F.col("value").cast("string").alias("value"))
+    return text.select(F.inline(objects(F.col("value"), names))).drop(_END)
 
 
 def decode(messages: DataFrame, topic: str) -> DataFrame:
@@ -82,8 +106,8 @@ def decode(messages: DataFrame, topic: str) -> DataFrame:
 
 def malformed(messages: DataFrame, topic: str) -> DataFrame:
     """The ``value`` of the messages that :func:`decode` leaves out, but for blank ones."""
-    bad = _parsed(messages, schemas.TOPIC_FIELDS[topic]).where(F.col(_MALFORMED).isNotNull())
-    return bad.select(F.col(_MALFORMED).alias("value"))
+    text = messages.select(F.col("value").cast("string").alias("value")).where(F.trim("value") != "")
+    return text.where(F.size(objects(F.col("value"), schemas.TOPIC_FIELDS[topic])) == 0)
 
 
 def decode_raw(messages: DataFrame) -> DataFrame:
@@ -98,13 +122,14 @@ def decode_raw(messages: DataFrame) -> DataFrame:
 def checked(messages: DataFrame) -> DataFrame:
     """Add ``fields`` (a struct of all topics' fields) and ``problem`` (null where the message is good).
 
-    A message is good if its topic is known, it is a JSON object and it has every field of the
-    topic; a field that is there but null is fine. The keys of a message are looked at only
-    where one of its fields came out null.
+    A message is good if its topic is known, it is one JSON object and nothing else, and it has
+    every field of the topic; a field that is there but null is fine. The keys of a message are
+    looked at only where one of its fields came out null.
     """
     text = F.col("value").cast("string")
-    parsed = messages.withColumn("fields", F.from_json(text, schemas.strings(schemas.ALL_FIELDS)))
-    keys = F.json_object_keys(text)
+    # A generator, like ``inline`` above: the fields are used many times and parsed once.
+    parsed = messages.select("*", F.explode_outer(objects(text, schemas.ALL_FIELDS)).alias("fields"))
+    keys = F.when(F.col("fields").isNotNull(), F.json_object_keys(text))
     filled = named = F.lit(None).cast("boolean")
     for topic, names in schemas.TOPIC_FIELDS.items():
         ours = F.col("topic") == topic

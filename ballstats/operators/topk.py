@@ -13,7 +13,7 @@ from ballstats.operators import metrics
 _SCORE_COLUMNS = [*schemas.INNINGS_KEYS, "striker", "total_runs"]
 
 
-def _known(names: list[str]) -> Column:
+def known(names: list[str]) -> Column:
     return reduce(lambda a, b: a & b, (F.col(name).isNotNull() for name in names))
 
 
@@ -25,8 +25,8 @@ def top_scorers(scores: DataFrame) -> DataFrame:
     Innings with a null key have no top scorer, as under an equi-join with the maximum.
     """
     per_innings = Window.partitionBy(*schemas.INNINGS_KEYS).orderBy(F.desc("total_runs"))
-    known = scores.where(_known([*schemas.INNINGS_KEYS, "total_runs"]))
-    return known.withColumn("place", F.rank().over(per_innings)).where("place = 1").select(*_SCORE_COLUMNS)
+    ranked = scores.where(known([*schemas.INNINGS_KEYS, "total_runs"]))
+    return ranked.withColumn("place", F.rank().over(per_innings)).where("place = 1").select(*_SCORE_COLUMNS)
 
 
 def top_scorers_by_join(scores: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ballstats import session
@@ -15,15 +15,19 @@ from ballstats.plans.catalog import METRICS, Metric
 _SUMMED = ["runs_of_bat", "extras", "total_runs", "balls"]
 
 
+def phase() -> Column:
+    """0 for the powerplay and null for the rest, under the name of the over that it stands for."""
+    return F.when(wickets.powerplay(), F.lit(0.0).cast("float")).alias("over")
+
+
 def rollup(deliveries: DataFrame) -> DataFrame:
     """Deliveries summed per striker, innings and phase, under their own column names.
 
     Every run metric gives on the rollup what it gives on the deliveries, on a fraction of the
     rows. ``over`` is 0 for the powerplay and null for the rest.
     """
-    phase = F.when(wickets.powerplay(), F.lit(0.0).cast("float")).alias("over")
     summed = [name for name in _SUMMED if name in deliveries.columns]
-    return deliveries.groupBy(*SCORE_KEYS, phase).agg(*[F.sum(name).alias(name) for name in summed])
+    return deliveries.groupBy(*SCORE_KEYS, phase()).agg(*[F.sum(name).alias(name) for name in summed])
 
 
 PHASE_SCORES = Metric("phase_scores", "rate", rollup, (*SCORE_KEYS, "over"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ballstats import schemas
-from ballstats.operators import metrics, stats, topk
+from ballstats.operators import metrics, seasons, stats, topk
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -129,6 +129,22 @@ METRICS: dict[str, Metric] = {
             ("batting_team", "match_id", "innings"),
             ("match_id", "innings", "batting_team"),
         ),
+        Metric(
+            "batter_consistency",
+            schemas.RAW_TOPIC,
+            seasons.season_runs,
+            ("player_name", "season"),
+            ("player_name",),
+            seasons.batter_consistency,
+        ),
+        Metric(
+            "season_form",
+            schemas.RAW_TOPIC,
+            seasons.season_runs,
+            ("player_name", "season"),
+            ("player_name", "season"),
+            seasons.season_form,
+        ),
         Metric("player_runs_upsert", "runs", stats.runs_by_player, ("player_name",), ("player_name",)),
         Metric("player_wickets_upsert", "bowler", stats.wickets_by_player, ("player_name",), ("player_name",)),
     ]

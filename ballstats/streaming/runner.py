@@ -31,14 +31,16 @@ def live(metric: Metric) -> Trigger:
 
 def decoded(messages: DataFrame, topic: str) -> DataFrame:
     """Typed deliveries out of a topic's messages."""
-    return parse.typed(parse.decode(messages, topic))
+    raw = topic == schemas.RAW_TOPIC
+    return parse.typed(parse.decode_raw(messages) if raw else parse.decode(messages, topic))
 
 
-def _writer(df: DataFrame, name: str, path: str | None, mode: str, trigger: Trigger | None) -> DataStreamWriter:
-    writer = df.writeStream.queryName(name).outputMode(mode)
+def writer(df: DataFrame, name: str, path: str | None, mode: str, trigger: Trigger | None) -> DataStreamWriter:
+    """A named query that keeps its checkpoint under ``path``."""
+    named = df.writeStream.queryName(name).outputMode(mode)
     if path:
-        writer = writer.option("checkpointLocation", f"{path}/checkpoint")
-    return writer.trigger(**trigger) if trigger else writer
+        named = named.option("checkpointLocation", f"{path}/checkpoint")
+    return named.trigger(**trigger) if trigger else named
 
 
 def start_metric(
@@ -52,12 +54,12 @@ def start_metric(
     """
     data = f"{path}/data"
     trigger = live(metric) if trigger is None else trigger
-    writer = _writer(metric.aggregate(deliveries), metric.name, path, mode, trigger)
+    stream = writer(metric.aggregate(deliveries), metric.name, path, mode, trigger)
     if mode == "append":
-        return writer.format("parquet").option("path", data).start()
+        return stream.format("parquet").option("path", data).start()
     if mode == "update":
-        return writer.foreachBatch(sinks.change_writer(data, metric.keys)).start()
-    return writer.foreachBatch(sinks.snapshot_writer(data, metric.finish)).start()
+        return stream.foreachBatch(sinks.change_writer(data, metric.keys)).start()
+    return stream.foreachBatch(sinks.snapshot_writer(data, metric.finish)).start()
 
 
 def read_metric(spark: SparkSession, metric: Metric, path: str, mode: str = "complete") -> DataFrame:
@@ -91,7 +93,7 @@ def start_console(
         metric.show(batch).show(rows, truncate=False)
 
     aggregated = metric.aggregate(deliveries)
-    return _writer(aggregated, metric.name, path, mode, trigger).foreachBatch(show).start()
+    return writer(aggregated, metric.name, path, mode, trigger).foreachBatch(show).start()
 
 
 def start_landing(messages: DataFrame, path: str, trigger: Trigger | None = None) -> StreamingQuery:
@@ -100,7 +102,7 @@ def start_landing(messages: DataFrame, path: str, trigger: Trigger | None = None
     def write(batch: DataFrame, batch_id: int) -> None:
         landing.land(batch, f"{path}/data", batch_id)
 
-    return _writer(messages, "landing", path, "append", trigger).foreachBatch(write).start()
+    return writer(messages, "landing", path, "append", trigger).foreachBatch(write).start()
 
 
 def read_landed(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -127,7 +129,7 @@ def start_landing_jdbc(
         finally:
             routed.unpersist()
 
-    return _writer(messages, "landing", path, "append", trigger).foreachBatch(write).start()
+    return writer(messages, "landing", path, "append", trigger).foreachBatch(write).start()
 
 
 def start_store(messages: DataFrame, path: str, trigger: Trigger | None = None) -> StreamingQuery:
@@ -142,7 +144,7 @@ def start_store(messages: DataFrame, path: str, trigger: Trigger | None = None)
         finally:
             deliveries.unpersist()
 
-    return _writer(messages, "store", path, "append", trigger).foreachBatch(write).start()
+    return writer(messages, "store", path, "append", trigger).foreachBatch(write).start()
 
 
 def finish(query: StreamingQuery, timeout: int | None = None) -> None:

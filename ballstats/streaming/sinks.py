@@ -1,8 +1,8 @@
 """Where streamed results go.
 
 Each micro-batch writes a directory of its own, ``batch_id=<n>``: repeating the batch replaces
-it, and readers of older ones are not disturbed. Readers of snapshots take directories only whose
-write has been committed, which Spark marks by a file ``_SUCCESS``. What is no longer needed is removed later.
+it, and readers of older ones are not disturbed. Readers take directories only whose write has been
+committed, which Spark marks by a file ``_SUCCESS``. What is no longer needed is removed later.
 """
 
 from __future__ import annotations
@@ -64,8 +64,7 @@ def change_writer(path: str, keys: tuple[str, ...], fold_every: int = FOLD_EVERY
         spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{path}/kind=change/batch_id={batch_id}")
         if batch_id % fold_every == fold_every - 1:
-            before = spark.read.parquet(path).where(f"kind = 'change' or batch_id < {batch_id}")
-            _newest(before, keys).write.mode("overwrite").parquet(f"{path}/kind=fold/batch_id={batch_id}")
+            _newest(spark, path, keys, batch_id).write.mode("overwrite").parquet(f"{path}/kind=fold/batch_id={batch_id}")
             last = batch_id - fold_every
             _remove(spark, f"{path}/kind=fold/batch_id={last - fold_every}")
             for old in range(last - fold_every + 1, last + 1):
@@ -74,15 +73,39 @@ def change_writer(path: str, keys: tuple[str, ...], fold_every: int = FOLD_EVERY
     return write
 
 
-def _newest(kept: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """The newest row of every key. The values are numbers, so this is a hash aggregate."""
-    last = F.coalesce(kept.where("kind = 'fold'").agg(F.max("batch_id")).scalar(), F.lit(-1))
-    at_fold = (F.col("kind") == "fold") & (F.col("batch_id") == last)
-    since = (F.col("kind") == "change") & (F.col("batch_id") > last)
+def _newest(spark: SparkSession, path: str, keys: tuple[str, ...], upto: int | None = None) -> DataFrame:
+    """The newest row of every key: of the last fold and the changes since, as far as they are committed.
+
+    With ``upto``, the state after the changes of that batch, whether or not it has been folded before.
+    """
+    folds = [n for n in committed(spark, f"{path}/kind=fold") if upto is None or n < upto]
+    last = folds[-1] if folds else -1
+    changes = [n for n in committed(spark, f"{path}/kind=change") if n > last and (upto is None or n <= upto)]
+    read = [f"{path}/kind=fold/batch_id={n}" for n in folds[-1:]]
+    read += [f"{path}/kind=change/batch_id={n}" for n in changes]
+    if not read:
+        raise ValueError(f"no result has been written under {path} yet")
+    kept = spark.read.option("basePath", path).parquet(*read)
     values = [name for name in kept.columns if name not in (*keys, "kind", "batch_id")]
-    newest = [F.max_by(name, "batch_id").alias(name) for name in values]
-    return kept.where(at_fold | since).groupBy(*keys).agg(*newest)
+    return kept.groupBy(*keys).agg(*[F.max_by(name, "batch_id").alias(name) for name in values])
 
 
 def read_changes(spark: SparkSession, path: str, keys: tuple[str, ...]) -> DataFrame:
-    return _newest(spark.read.parquet(path), keys)
+    return _newest(spark, path, keys)
+
+
+def part_writer(path: str, *partitions: str) -> BatchWriter:
+    """Rows of each trigger that stay; ``partitions`` are columns that readers choose by."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").partitionBy(*partitions).parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
+def read_parts(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of all triggers that are written as a whole."""
+    read = [f"{path}/batch_id={n}" for n in committed(spark, path)]
+    if not read:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*read)

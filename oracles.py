@@ -19,7 +19,7 @@ deliveries as (
       as player_dismissed,
     case when w and l_suppkey % 5 = 0
          then concat('P', case when inn = 1 then t2 else t1 end * 11 + l_orderkey % 11) else '' end as fielder,
-    l_linenumber
+    l_linenumber, l_orderkey
   from (select *, l_orderkey % 200 as m, 1 + l_linenumber % 2 as inn, (l_orderkey % 200) % 10 as t1,
           ((l_orderkey % 200) + 1 + (l_orderkey % 200) % 9) % 10 as t2,
           (l_orderkey + l_partkey + l_suppkey) % 20 = 0 as w from lineitem) x
@@ -164,6 +164,69 @@ _STREAMED = [
     "run_rate_match", "run_rate_team", "run_rate_striker", "run_rate_powerplay",
 ]
 
+_SEASONS = TYPED + """,
+seasons as (
+  select striker as player_name, cast(season as int) as season, cast(coalesce(sum(runs_of_bat), 0) as bigint) as runs from typed group by all
+)"""
+
+_CONSISTENCY = _with(_SEASONS, """
+select player_name, n as seasons, s as runs, s::double / n as mean_runs,
+  sqrt((n * q - s::hugeint * s)::double) / n as deviation,
+  case when s <> 0 then sqrt((n * q - s::hugeint * s)::double) / s end as variation
+from (select player_name, count(*) as n, cast(sum(runs) as bigint) as s, sum(runs::hugeint * runs) as q
+      from seasons group by 1) x""")
+
+# A season is in the frame by its number, whether or not the one before it was played.
+_FORM = _with(_SEASONS, f"""
+select player_name, season, runs, form_runs, form_seasons, {_ratio("form_runs", "form_seasons", 1)} as form_average
+from (select a.player_name, a.season, a.runs, cast(sum(b.runs) as bigint) as form_runs, count(*) as form_seasons
+      from seasons a join seasons b on a.player_name = b.player_name and b.season between a.season - 2 and a.season
+      group by all) x""")
+
+
+def _phase(name: str, inside: str) -> str:
+    balls, runs = f"count(*) filter (where {inside})", f"coalesce(sum(total_runs) filter (where {inside}), 0)"
+    return f"""{balls} as {name}_balls, cast({runs} as bigint) as {name}_runs,
+  count(*) filter (where {inside} and {_WICKET}) as {name}_wickets, {_ratio(runs, balls, 6)} as {name}_economy"""
+
+
+_PHASES = {"powerplay": "over < 6", "middle": "over >= 6 and over < 16", "death": "over >= 16"}
+
+_OUTCOMES = TYPED + """,
+totals as (
+  select match_id, innings, batting_team as team, cast(sum(total_runs) as bigint) as total
+  from typed group by all
+), outcomes as (
+  select a.match_id, a.team as first_team, a.total as first_total, b.team as second_team, b.total as second_total,
+    case when b.team is null then 'no result' when a.total > b.total then 'defended'
+         when a.total < b.total then 'chased' else 'tie' end as outcome
+  from totals a left join totals b on a.match_id = b.match_id and b.innings = 2
+  where a.innings = 1
+  union all
+  select match_id, team, total, null, null, 'no result' from totals c
+  where innings = 2 and not exists (select 1 from totals d where d.match_id = c.match_id and d.innings = 1)
+)"""
+
+_MILESTONES = _with(DELIVERIES + """,
+running as (
+  select *, sum(cast(runs_of_bat as int)) over (
+    partition by match_id, batting_team, innings, striker
+    order by cast(split_part(over, '.', 1) as int), cast(split_part(over, '.', 2) as int), l_orderkey, l_linenumber
+    rows unbounded preceding) as so_far
+  from deliveries
+)""", """
+select match_id, batting_team, innings, striker, milestone, over, cast(so_far as bigint) as runs
+from running, (values (50), (100)) as marks(milestone)
+where so_far >= milestone and so_far - cast(runs_of_bat as int) < milestone""")
+
+
+_INCOMPLETE = TYPED + """,
+ours as (select striker, batting_team, cast(sum(runs_of_bat) as bigint) as total_runs from typed group by all),
+theirs as (
+  select striker, batting_team, cast(sum(runs_of_bat) as bigint) as total_runs from typed
+  where season <> 2022 group by all
+)"""
+
 ORACLES: dict[str, str] = {
     **_BATCH,
     **{f"stream_{name}": _BATCH[name] for name in _STREAMED},
@@ -236,4 +299,53 @@ select analysis_type, n as batch_records, n as stream_records, n as matching_rec
     "reconcile_summary": _with(_RECONCILED, """
 select count(*) as analyses, cast(sum(n) as bigint) as batch_records, cast(sum(n) as bigint) as stream_records,
   100.0::double as avg_accuracy from report"""),
+    "milestones": _MILESTONES,
+    "stream_milestones": _with(_SCORES, """
+select match_id, batting_team, innings, striker, milestone
+from scores, (values (50), (100)) as marks(milestone) where total_runs >= milestone"""),
+    "stream_top_scorer_incremental": _TOP_SCORERS,
+    "stream_quarantine": _with(DELIVERIES, """
+select 'rate' as topic, case when l_linenumber = 7 then 'missing field' else 'not a JSON object' end as problem,
+  count(*) as n
+from deliveries where l_linenumber in (5, 6, 7) group by all"""),
+    **{
+        f"routed_{name}": _BATCH[name].replace("from deliveries", "from deliveries where l_linenumber not in (5, 6, 7)")
+        for name in ("run_rate_match", "run_rate_team", "run_rate_striker", "run_rate_powerplay")
+    },
+    "reconcile_diff": _with(_INCOMPLETE, """
+select striker, batting_team, o.total_runs as batch_runs, t.total_runs as stream_runs,
+  cast(o.total_runs is not null as bigint) as batch_rows, cast(t.total_runs is not null as bigint) as stream_rows
+from ours o full join theirs t using (striker, batting_team) where o.total_runs is distinct from t.total_runs"""),
+    "reconcile_incomplete": _with(_INCOMPLETE, """
+select 'highest_scorers' as analysis_type, batch_records, stream_records, matching_records,
+  matching_records * 100.0::double / batch_records as accuracy
+from (select (select count(*) from ours) as batch_records, (select count(*) from theirs) as stream_records,
+        (select count(*) from ours join theirs using (striker, batting_team, total_runs)) as matching_records) x"""),
+    "batter_consistency": _CONSISTENCY,
+    "stream_batter_consistency": _CONSISTENCY,
+    "season_form": _FORM,
+    "stream_season_form": _FORM,
+    "phase_economy": _typed(
+        "select bowler, " + ", ".join(_phase(*phase) for phase in _PHASES.items()) + " from typed group by bowler"
+    ),
+    "match_outcomes": _with(_OUTCOMES, "select * from outcomes"),
+    "chase_vs_defend": _with(_OUTCOMES, f"""
+select team_name, defending, defended, chasing, chased, tied, without_result,
+  {_ratio("defended", "defending", 100)} as defended_percentage, {_ratio("chased", "chasing", 100)} as chased_percentage
+from (select team_name, count(*) filter (where first) as defending,
+        count(*) filter (where first and outcome = 'defended') as defended,
+        count(*) filter (where not first) as chasing,
+        count(*) filter (where not first and outcome = 'chased') as chased,
+        count(*) filter (where outcome = 'tie') as tied,
+        count(*) filter (where outcome = 'no result') as without_result
+      from (select first_team as team_name, true as first, outcome from outcomes
+            union all select second_team, false, outcome from outcomes where second_team is not null) s
+      group by 1) x"""),
+    "csv_roundtrip": _with(DELIVERIES, """
+select match_id, concat(striker, ', "the ', bowler, '"', chr(10), ' of ', venue, ' ') as striker, over, runs_of_bat,
+  wicket_type from deliveries"""),
+    "csv_faults": _with(DELIVERIES, """
+select case when l_linenumber in (6, 7) then 'wrong number of fields' else 'good' end as kind,
+  cast(case when l_linenumber not in (6, 7) then length(runs_of_bat) end as int) as size, count(*) as n
+from deliveries group by all"""),
 }

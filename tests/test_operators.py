@@ -255,3 +255,32 @@ def test_reconcile_different_columns_and_summary(spark):
     got = {row.analysis_type: row for row in report.collect()}
     assert got["other"].accuracy == 0.0 and got["other"].matching_records == 0
     assert tuple(reconcile.summary(report).first()) == (2, 4, 4, 50.0)
+
+
+def _scores(spark, *given):
+    return spark.createDataFrame(list(given), "striker string, team string, runs bigint")
+
+
+def test_difference_of_results(spark):
+    same = [(f"p{k}", "A", k) for k in range(200)]
+    ours = _scores(spark, *same, ("x", "A", 1), ("y", None, 2), ("z", "A", None), ("twice", "A", 3), ("twice", "A", 3))
+    theirs = _scores(spark, *reversed(same), ("x", "A", 5), ("y", None, 2), ("z", "A", 0), ("twice", "A", 3), (None, "A", 9))
+    found = reconcile.difference(ours, theirs.select("runs", "team", "striker"), ["striker", "team"])
+    assert rows(found.select("striker", "batch.runs", "stream.runs", "batch_rows", "stream_rows")) == [
+        ("twice", 3, None, 1, 0), ("x", 1, 5, 1, 1), ("z", None, 0, 1, 1), (None, None, 9, 0, 1),
+    ]
+    assert reconcile.difference(ours, ours, ["striker", "team"]).count() == 0
+    assert reconcile.difference(ours.where("false"), ours.where("false"), ["striker"]).count() == 0
+    with pytest.raises(ValueError):
+        reconcile.difference(ours, theirs.drop("runs"), ["striker"])
+
+
+def test_only_unequal_buckets_are_compared(spark):
+    ours = _scores(spark, *((f"p{k}", "A", k) for k in range(500)))
+    theirs = ours.where("striker <> 'p7'")
+    buckets = reconcile.unequal_buckets(ours, theirs, ["striker"], 64)
+    assert buckets.count() == 1
+    # Null and absent values, or values that change places, are no equal rows.
+    for left, right in (((None, "a"), ("a", None)), (("a", "b"), ("b", "a"))):
+        both = [spark.createDataFrame([(*pair, 1)], "striker string, team string, runs bigint") for pair in (left, right)]
+        assert reconcile.difference(*both, ["runs"]).count() == 1

@@ -1,3 +1,5 @@
+import pytest
+
 from ballstats import session
 from ballstats.functions import parse
 from ballstats.operators import fanout, metrics
@@ -77,3 +79,39 @@ def test_stream_session_leaves_the_callers_settings(spark):
     assert "RocksDB" in other.conf.get("spark.sql.streaming.stateStore.providerClass")
     assert other.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+
+
+def _file(folder, name, text):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(text)
+    return str(folder)
+
+
+def test_csv_rows_with_a_wrong_number_of_fields(spark, tmp_path):
+    path = _file(tmp_path / "in", "a.csv", 'match_id,striker,runs\nM1,a,1\nM2,b\nM3,c,2,9\n"M,4","d ""x""",3\nM5,,\n')
+    good, bad = files.split_csv(spark, path)
+    assert rows(good) == [("M,4", 'd "x"', "3"), ("M1", "a", "1"), ("M5", "", "")]
+    assert rows(bad) == [("M2,b", files.WRONG_FIELDS), ("M3,c,2,9", files.WRONG_FIELDS)]
+    assert (good.count(), bad.count()) == (3, 2)
+    assert [r.match_id for r in good.select("match_id").where("runs = '1'").collect()] == ["M1"]
+
+
+def test_csv_values_come_back_as_written(spark, tmp_path):
+    names = ["plain", 'a "quoted" one', "with, comma", "two\nlines", " blanks ", '"', "'", "\\"]
+    given = spark.createDataFrame([(f"M{k}", name) for k, name in enumerate(names)], "match_id string, striker string")
+    files.write_csv(given, str(tmp_path / "out"))
+    good, bad = files.split_csv(spark, str(tmp_path / "out"), multi_line=True)
+    assert rows(good) == rows(given) and bad.count() == 0
+
+
+def test_csv_with_another_header_fails(spark, tmp_path):
+    _file(tmp_path / "in", "a.csv", "match_id,striker\nM1,a\n")
+    path = _file(tmp_path / "in", "b.csv", "striker,match_id\nb,M2\n")
+    with pytest.raises(Exception, match="CSV header"):
+        files.split_csv(spark, path)[0].collect()
+
+
+def test_csv_without_a_header(spark, tmp_path):
+    path = _file(tmp_path / "in", "a.csv", "M1,a\nM2\n")
+    good, bad = files.split_csv(spark, path, names=["match_id", "striker"])
+    assert rows(good) == [("M1", "a")] and rows(bad) == [("M2", files.WRONG_FIELDS)]
