@@ -27,7 +27,8 @@ blocks hold are compared in one of them.
 
 What reaches the driver or all tasks is of fixed size: the ``FREQUENT`` most frequent shingles, which
 only order signatures, and bitmaps of ``BITS`` bits, which only leave out what cannot matter. Equal
-sets have one 64-bit hash, which stands for them throughout.
+sets have one 64-bit hash, which stands for them throughout; that no two sets share one is checked by
+64 bits more, and if some do, all is done again under another key.
 
 Edge cases: a null text, or one without words, has an empty set and is alone in its component; equal
 sets are linked; fewer words than a shingle make one shingle; a null id keeps its row, and the component
@@ -36,6 +37,7 @@ is named by the smallest id that is not null; repeated rows stay.
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -57,15 +59,15 @@ CELLS = 256
 #: New pivots of a larger block at its first further level; four times as many at each one after.
 PIVOTS = 16
 #: Texts whose shingles are counted together before what is rare among them is left out.
-_COUNTED, _RARE = 2000, 3
+_COUNTED, _COUNTED_SHINGLES, _RARE = 2000, 1 << 20, 3
 
 Batches = Iterable[pa.RecordBatch]
 
 
-def _sets(batches: Batches) -> Iterator[tuple[list, list[np.ndarray]]]:
+def _sets(batches: Batches, seed: int) -> Iterator[tuple[list, list[np.ndarray]]]:
     """Ids and sets, a few documents at a time."""
     for part in common.parts(batches):
-        yield part.column("doc_id").to_pylist(), shingles.shingle_sets(part.column("text").to_pylist())
+        yield part.column("doc_id").to_pylist(), shingles.shingle_sets(part.column("text").to_pylist(), seed=seed)
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -74,7 +76,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))
 
 
-def frequent(texts: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+def frequent(texts: DataFrame, seed: int, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles and how frequent they are, sorted by shingle.
 
     Shingles that are rare among the texts counted together do not add to the sum.
@@ -87,11 +89,13 @@ def frequent(texts: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.nda
             return pa.RecordBatch.from_arrays([pa.array(values[keep].view(np.int64)), pa.array(n[keep])], ["s", "n"])
 
         some: list[np.ndarray] = []
-        for _, found in _sets(batches):
+        held = 0
+        for _, found in _sets(batches, seed):
             some += found
-            if len(some) >= _COUNTED:
+            held += sum(map(len, found))
+            if len(some) >= _COUNTED or held >= _COUNTED_SHINGLES:
                 yield counted(some)
-                some = []
+                some, held = [], 0
         if some:
             yield counted(some)
 
@@ -287,13 +291,19 @@ def _joined(labels: DataFrame, compared: DataFrame) -> DataFrame:
 
 def grouped(docs: DataFrame) -> DataFrame:
     """Per document: ``n_shingles`` and ``component_id``, the smallest id that links can reach."""
+    while (found := _grouped(docs, secrets.randbits(63))) is None:
+        pass  # two sets had one hash
+    return found
+
+
+def _grouped(docs: DataFrame, seed: int) -> DataFrame | None:
     spark = docs.sparkSession
     texts = common.id_and_text(docs)
     share = spark.sparkContext.broadcast
-    often = share(frequent(texts))
+    often = share(frequent(texts, seed))
 
     def signatures(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for _, found in _sets(batches):
+        for _, found in _sets(batches, seed):
             values = np.concatenate([signature(items, often.value) for items in found])
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64))], ["s"])
 
@@ -302,19 +312,24 @@ def grouped(docs: DataFrame) -> DataFrame:
 
     def with_hits(batches: Batches) -> Iterator[pa.RecordBatch]:
         """Of each signature, what other documents' may hold as well."""
-        for ids, found in _sets(batches):
+        for ids, found in _sets(batches, seed):
             signed = [signature(items, often.value) for items in found]
             places = [np.flatnonzero(hits(s, shared.value)).astype(np.uint64) for s in signed]
             some = [s[at.astype(np.int64)] for s, at in zip(signed, places, strict=True)]
-            own = [shingles.set_hash(items) if len(items) else None for items in found]
+            own = [shingles.set_hash(items, seed) if len(items) else (None, None) for items in found]
             n = [len(items) for items in found]
             cells = [cells_of(items) if len(s) else None for items, s in zip(found, some, strict=True)]
-            arrays = [pa.array(ids, pa.int64()), pa.array(own, pa.int64()), pa.array(n, pa.int64()), _lists(some), _lists(places), pa.array(cells, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "g", "n", "hits", "places", "cells"])
+            arrays = [pa.array(ids, pa.int64()), *(pa.array([x[k] for x in own], pa.int64()) for k in (0, 1)), pa.array(n, pa.int64())]
+            arrays += [_lists(some), _lists(places), pa.array(cells, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "g", "check", "n", "hits", "places", "cells"])
 
     every = common.stored(
-        texts.mapInArrow(with_hits, "doc_id long, g long, n long, hits array<long>, places array<long>, cells binary"), "jaccard-documents"
+        texts.mapInArrow(with_hits, "doc_id long, g long, check long, n long, hits array<long>, places array<long>, cells binary"), "jaccard-documents"
     )
+    often.destroy()
+    shared.destroy()
+    if not _none_left(every.groupBy("g").agg(F.min("check").alias("low"), F.max("check").alias("high")).where("low <> high")):
+        return None
     shingle = F.explode(F.arrays_zip("hits", "places")).alias("x")
     rows = every.select(shingle, "g", "n").select(F.col("x.hits").alias("s"), "g", "n", F.col("x.places").alias("at")).distinct()
     rows = common.stored(rows, "jaccard-rows")
@@ -338,14 +353,17 @@ def grouped(docs: DataFrame) -> DataFrame:
             for batch in batches:
                 ids = np.array(batch.column("doc_id").fill_null(0), np.int64).view(np.uint64)
                 batch = batch.filter(pa.array(hits(ids, chosen.value) | np.array(batch.column("doc_id").is_null())))
-                for _, found in _sets([batch]):
-                    own = np.array([shingles.set_hash(items) if len(items) else 0 for items in found], np.int64)
+                for _, found in _sets([batch], seed):
+                    own = np.array([shingles.set_hash(items, seed)[0] if len(items) else 0 for items in found], np.int64)
                     keep = np.flatnonzero(hits(own.view(np.uint64), wanted.value) & np.array([len(x) > 0 for x in found], bool))
                     if len(keep):
                         yield pa.RecordBatch.from_arrays([pa.array(own[keep]), _lists([found[k] for k in keep])], ["g", "items"])
 
         found = texts.mapInArrow(whole_sets, "g long, items array<long>").join(some.select("g"), "g", "left_semi")
-        return common.stored(found.dropDuplicates(["g"]), "jaccard-sets")
+        found = common.stored(found.dropDuplicates(["g"]), "jaccard-sets")
+        wanted.destroy()
+        chosen.destroy()
+        return found
 
     labels = links(blocks, cells, sets_of)
     named = every.select("doc_id", "n", "g").join(labels.withColumnRenamed("node", "g"), "g", "left")

@@ -7,7 +7,8 @@ place that the lengths and the edits before and after it leave open. So each lin
 few substrings at those places. Hashes of all substrings come from running sums over whole arrays.
 Candidates are verified by a banded bit-parallel edit distance, many pairs at a time.
 
-Lines stand for themselves by a 64-bit hash, so equal lines are one and copies are never paired. Text
+Lines stand for themselves by a 64-bit hash, so equal lines are one and copies are never paired; that no
+two lines share one is checked by 64 bits more, and if some do, all is done again under another key. Text
 is shuffled only for lines that have candidates. Most segments occur in one line only and meet no
 probe; bitmaps of fixed size (``BITS``) sort them out before the shuffle, and let some more through if
 they fill up, never fewer. Within a block of equal segments, pairs are left out that differ in more
@@ -20,12 +21,14 @@ ids last; repeated ids are one document with the same line numbers; extra column
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterable, Iterator
 from functools import reduce
 from operator import and_
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +43,9 @@ BITS = 1 << 27
 #: Bytes, pairs of bytes and words that one edit can change: a replaced byte is one gone and one new, and
 #: so are its two pairs; a blank parts a word into two or joins two.
 _PER_EDIT = {"p0": 2, "p1": 4, "p2": 3}
-_AT_ONCE = 4096
+#: Pairs that are verified together, and the longest line, in bytes, that is verified with others. Longer ones
+#: are compared by runs of equal bytes, with the same result.
+_TOGETHER, LONG = 256, 4096
 
 Batches = Iterable[pa.RecordBatch]
 
@@ -48,7 +53,7 @@ Batches = Iterable[pa.RecordBatch]
 class Lines:
     """The lines of some texts that are not blank, as places in one array of bytes."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], seed: int = 0):
         encoded = [text.encode() for text in texts]
         self.data = b"\n".join(encoded)
         raw = np.frombuffer(self.data, np.uint8)
@@ -64,7 +69,9 @@ class Lines:
         self.start, self.end = starts[keep], ends[keep]
         self.owner, self.number = self.owner[keep], self.number[keep]
         self.size = self.end - self.start
-        self.key = mixed(self.hash_of(self.start, self.end) + self.size.astype(np.uint64)).view(np.int64)
+        whole = zip(self.start.tolist(), self.end.tolist(), strict=True)
+        digests = b"".join([xxhash.xxh3_128_digest(self.data[a:b], seed) for a, b in whole])
+        self.key, self.check = np.frombuffer(digests, "<i8").reshape(-1, 2).T
         self.long = self.size >= LEAST_BYTES
         self._words, self._first = words, np.searchsorted(begin, self.start)
         self._last = np.searchsorted(begin, self.end)
@@ -146,20 +153,67 @@ def within(pairs: list[tuple[bytes, bytes]], edits: int = EDITS) -> np.ndarray:
     return (np.abs(size_x - size_y) <= edits) & (distance <= edits)
 
 
-def _sliced(batches: Batches) -> Iterator[tuple[list, Lines]]:
+def _common(x: bytes, y: bytes, at_x: int, at_y: int) -> int:
+    """How many bytes from these places on are the same."""
+    low, high = 0, min(len(x) - at_x, len(y) - at_y)
+    while low < high:
+        middle = (low + high + 1) // 2
+        if x[at_x + low : at_x + middle] == y[at_y + low : at_y + middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def within_long(x: bytes, y: bytes, edits: int = EDITS) -> bool:
+    """:func:`within` for one pair: how far each diagonal gets with 0, 1, ... edits, equal runs being compared whole."""
+    reached = {0: _common(x, y, 0, 0)}
+    for spent in range(edits + 1):
+        if reached.get(len(x) - len(y), -1) >= len(x):
+            return True
+        further = {}
+        for diagonal in range(-spent - 1, spent + 2):
+            steps = (reached.get(diagonal, -2) + 1, reached.get(diagonal - 1, -2) + 1, reached.get(diagonal + 1, -2))
+            at = min(max(steps), len(x), len(y) + diagonal)
+            if at >= max(0, diagonal):
+                further[diagonal] = at + _common(x, y, at, at - diagonal)
+        reached = further
+    return False
+
+
+def verified(pairs: list[tuple[bytes, bytes]], edits: int = EDITS) -> np.ndarray:
+    """Whether the two of each pair are within the edits, in groups of a bounded number of bytes."""
+    fit = np.zeros(len(pairs), bool)
+    # Pairs of like length go together, so that short ones do not wait for long ones.
+    size = [max(map(len, pair)) for pair in pairs]
+    order = sorted(range(len(pairs)), key=size.__getitem__)
+    # The band needs lines that are longer than it is wide.
+    banded = lambda k: size[k] <= LONG and min(map(len, pairs[k])) > 2 * edits
+    short = [k for k in order if banded(k)]
+    for k in order:
+        if not banded(k):
+            fit[k] = within_long(*pairs[k], edits)
+    for k in range(0, len(short), _TOGETHER):
+        some = short[k : k + _TOGETHER]
+        fit[some] = within([pairs[i] for i in some], edits)
+    return fit
+
+
+def _sliced(batches: Batches, seed: int) -> Iterator[tuple[list, Lines]]:
     for part in common.parts(batches):
-        yield part.column("doc_id").to_pylist(), Lines(part.column("text").to_pylist())
+        yield part.column("doc_id").to_pylist(), Lines(part.column("text").to_pylist(), seed)
 
 
-def _all_lines(batches: Batches) -> Iterator[pa.RecordBatch]:
-    for ids, lines in _sliced(batches):
+def _all_lines(batches: Batches, seed: int) -> Iterator[pa.RecordBatch]:
+    for ids, lines in _sliced(batches, seed):
         keys = np.zeros((len(lines.key), EDITS + 1), np.int64)
         keys[lines.long] = lines.index()
         ends = np.concatenate([[0], np.cumsum(np.where(lines.long, EDITS + 1, 0))])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()).take(pa.array(lines.owner)), pa.array(lines.number, pa.int32()), pa.array(lines.key)]
+            [pa.array(ids, pa.int64()).take(pa.array(lines.owner)), pa.array(lines.number, pa.int32())]
+            + [pa.array(np.ascontiguousarray(x)) for x in (lines.key, lines.check)]
             + [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys[lines.long].ravel()))],
-            ["doc_id", "line_no", "h", "keys"],
+            ["doc_id", "line_no", "h", "check", "keys"],
         )
 
 
@@ -168,7 +222,7 @@ def _alike() -> Column:
     return reduce(and_, (F.bit_count(F.col(f"l.{c}").bitwiseXOR(F.col(f"r.{c}"))) <= n * EDITS for c, n in _PER_EDIT.items()))
 
 
-def candidates(texts: DataFrame, lines: DataFrame) -> DataFrame:
+def candidates(texts: DataFrame, lines: DataFrame, seed: int) -> DataFrame:
     """Pairs of line hashes (``a`` < ``b``) that share a segment where they can."""
     share = texts.sparkSession.sparkContext.broadcast
     keyed = lines.select(F.explode("keys").alias("key"), "h").groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
@@ -177,7 +231,7 @@ def candidates(texts: DataFrame, lines: DataFrame) -> DataFrame:
 
     def meeting(batches: Batches) -> Iterator[pa.RecordBatch]:
         """Index keys that several lines have, and probes that meet an index key."""
-        for _, found in _sliced(batches):
+        for _, found in _sliced(batches, seed):
             parity = [p[found.long] for p in found.parity()]
             h = found.key[found.long]
             for probe, keys, known in ((False, found.index(), several.value), (True, found.probes(), every.value)):
@@ -187,6 +241,8 @@ def candidates(texts: DataFrame, lines: DataFrame) -> DataFrame:
 
     rows = texts.mapInArrow(meeting, "key long, h long, p0 long, p1 long, p2 long, probe boolean").distinct()
     rows = common.stored(rows, "line-rows")
+    every.destroy()
+    several.destroy()
     index, probes = rows.where("not probe"), rows.where("probe")
     pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
     # A key of one line is met by the line that the key table names; one of several by its index rows.
@@ -197,34 +253,28 @@ def candidates(texts: DataFrame, lines: DataFrame) -> DataFrame:
     return single.union(within_index).union(across).distinct()
 
 
-def links(texts: DataFrame, lines: DataFrame) -> DataFrame:
+def links(texts: DataFrame, lines: DataFrame, seed: int) -> DataFrame:
     """Pairs of line hashes (``a`` < ``b``) of lines within the edits; equal lines are one hash."""
-    pairs = common.stored(candidates(texts, lines), "line-candidates")
+    pairs = common.stored(candidates(texts, lines, seed), "line-candidates")
     ends = pairs.select(F.col("a").alias("h")).union(pairs.select("b"))
     wanted = texts.sparkSession.sparkContext.broadcast(bitmap(ends, "h"))
 
     def contents(batches: Batches) -> Iterator[pa.RecordBatch]:
-        for _, found in _sliced(batches):
+        for _, found in _sliced(batches, seed):
             at = np.flatnonzero(hits(found.key.view(np.uint64), wanted.value) & found.long)
             text = [found.data[found.start[k] : found.end[k]] for k in at]
             yield pa.RecordBatch.from_arrays([pa.array(found.key[at]), pa.array(text, pa.binary())], ["h", "line"])
 
     known = common.stored(texts.mapInArrow(contents, "h long, line binary").dropDuplicates(["h"]), "line-contents")
+    wanted.destroy()
     left = known.select(F.col("h").alias("a"), F.col("line").alias("x"))
     right = known.select(F.col("h").alias("b"), F.col("line").alias("y"))
 
     def verify(batches: Batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, _AT_ONCE):
-                part = batch.slice(start, _AT_ONCE)
+            for part in common.parts([batch], "y"):
                 both = list(zip(part.column("x").to_pylist(), part.column("y").to_pylist(), strict=True))
-                # Pairs of like length go together, so that short ones do not wait for long ones.
-                order = sorted(range(len(both)), key=lambda k: len(both[k][1]))
-                fit = np.zeros(len(both), bool)
-                for k in range(0, len(order), 256):
-                    some = order[k : k + 256]
-                    fit[some] = within([both[i] for i in some])
-                yield part.filter(pa.array(fit)).select(["a", "b"])
+                yield part.filter(pa.array(verified(both))).select(["a", "b"])
 
     return common.stored(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "line-links")
 
@@ -233,8 +283,14 @@ def classed(docs: DataFrame) -> DataFrame:
     """Per line that is not blank: its class, named by the first line of it (``first_doc``, ``first_line``),
     how many different lines link with it (``n_links``), its bytes, and whether it is that first line."""
     texts = common.id_and_text(docs)
-    lines = common.stored(texts.mapInArrow(_all_lines, "doc_id long, line_no int, h long, keys array<long>"), "lines")
-    found = links(texts, lines)
+    schema = "doc_id long, line_no int, h long, check long, keys array<long>"
+    while True:
+        seed = secrets.randbits(63)
+        lines = common.stored(texts.mapInArrow(lambda batches, seed=seed: _all_lines(batches, seed), schema), "lines")
+        checks = lines.groupBy("h").agg(F.min("check").alias("low"), F.max("check").alias("high"))
+        if not checks.where("low <> high").limit(1).count():
+            break
+    found = links(texts, lines, seed)
     ends = found.select(F.col("a").alias("h")).union(found.select("b"))
     known = components(found).withColumnRenamed("node", "h").join(ends.groupBy("h").agg(F.count("*").alias("n_links")), "h")
     named = lines.select("doc_id", "line_no", "h", (F.size("keys") > 0).alias("long")).join(known, "h", "left")

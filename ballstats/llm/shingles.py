@@ -1,14 +1,20 @@
-"""Sets of hashed word shingles of texts, computed on whole arrays of bytes.
+"""Sets of hashed word shingles of texts.
 
-Words are runs of bytes that are no ASCII white space, with A-Z lower-cased. A word's hash is a
-polynomial of its bytes modulo 2^64, mixed; a shingle's hash combines those of its words by place.
+Words are runs of bytes that are no ASCII white space, with A-Z lower-cased. A word's hash is a keyed
+hash of its bytes (XXH3, 64 bits); a shingle's hash combines those of its words by place. Equality of
+sets is told by 128 bits, and the key is drawn by the caller, so that no text can be written to clash.
+
+:func:`running_hash` is a polynomial modulo 2^64, for substrings of whole arrays of bytes at once. Texts
+can be written that clash under it whatever its base, so it only finds candidates and never decides.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
+import xxhash
 
 WORDS = 5
 _BLOCK = 1 << 18
@@ -75,19 +81,24 @@ def words_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(starts)
 
 
-def word_hashes(texts: list[str]) -> list[np.ndarray]:
-    """Per text the hashes of its words, in order."""
-    data = b"\n".join(text.encode().translate(_LOWER) for text in texts)
-    bounds = np.concatenate([[0], np.cumsum([len(text.encode()) + 1 for text in texts])])
-    every, begin = words_of(data)
-    cuts = np.searchsorted(begin, bounds)
-    return [every[cuts[k] : cuts[k + 1]] for k in range(len(texts))]
+def word_hashes(text: str, seed: int = 0) -> np.ndarray:
+    """The hashes of the words of a text, in order; never more than a block's, or a word's, bytes are cut at once."""
+    data, at, out = text.encode().translate(_LOWER), 0, [np.zeros(0, np.uint64)]
+    while at < len(data):
+        end = min(at + _BLOCK, len(data))
+        while end < len(data) and not _BLANK[data[end]]:
+            end += 1
+        words = data[at:end].split()
+        out.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words, repeat(seed)), np.uint64, len(words)))
+        at = end
+    return np.concatenate(out)
 
 
-def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
+def shingle_sets(texts: list[str], words: int = WORDS, seed: int = 0) -> list[np.ndarray]:
     """Per text its distinct shingles in ascending order; fewer words than a shingle make one."""
     out = []
-    for h in word_hashes(texts):
+    for text in texts:
+        h = word_hashes(text, seed)
         n = len(h)
         if not n:
             out.append(np.zeros(0, np.uint64))
@@ -100,7 +111,7 @@ def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def set_hash(items: np.ndarray) -> int:
-    """A signed 64-bit hash of a set."""
-    both = np.array([items.sum(dtype=np.uint64), len(items)], np.uint64)
-    return int(mixed(mixed(both[:1]) + both[1:] * np.uint64(_BASE)).astype(np.int64)[0])
+def set_hash(items: np.ndarray, seed: int = 0) -> tuple[int, int]:
+    """Two signed 64-bit halves of a hash of a set, given in ascending order."""
+    halves = np.frombuffer(xxhash.xxh3_128_digest(items.tobytes(), seed), "<i8")
+    return int(halves[0]), int(halves[1])

@@ -2,6 +2,7 @@
 
 import random
 import re
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -126,3 +127,25 @@ def test_representatives(spark):
     assert sorted(map(tuple, jaccard_join.representatives(docs).collect()), key=repr) == sorted(
         [(1, text, "b"), (3, None, "c"), (None, text, "d")], key=repr
     )
+
+
+def test_words_that_clash_under_polynomials(spark):
+    words = ["".join("ab"[(bin(k).count("1") + turn) % 2] for k in range(2048)) for turn in (0, 1)]
+    rows = [(1, words[0]), (2, words[1]), (3, words[0]), (4, " ".join(words * 3)), (5, " ".join(words[::-1] * 3))]
+    assert got(spark, rows) == expected(rows)
+
+
+def test_clashing_hashes_are_drawn_again(spark, monkeypatch):
+    rows = [(k, f"some words of text {k} with more and more words") for k in range(20)]
+    seeds = iter([5, 6, 7])
+    monkeypatch.setattr(jaccard_join.secrets, "randbits", lambda _: next(seeds))
+    right = shingles.set_hash
+
+    def clashing(items, seed):
+        first, second = right(items, seed)
+        return (first % 3 if seed < 7 else first), second
+
+    patched = SimpleNamespace(set_hash=clashing, shingle_sets=shingles.shingle_sets)
+    monkeypatch.setattr(jaccard_join, "shingles", patched)
+    assert got(spark, rows) == expected(rows)
+    assert next(seeds, None) is None

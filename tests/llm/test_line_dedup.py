@@ -2,6 +2,8 @@
 
 import random
 
+import pyarrow as pa
+
 from ballstats.llm import line_dedup
 from tests.llm.helpers import ODD, as_rows, documents
 
@@ -88,3 +90,46 @@ def test_without_repeats(spark):
         [(1, f"{line}\nown one", 48), (2, "own two", 7), (4, None, None), (5, "", 0), (6, "own two", 7), (7, "x", 1)], key=repr
     )
     assert left.columns == documents(spark, rows).columns
+
+
+def thue_morse(n, first="a", second="b"):
+    return "".join(first if bin(k).count("1") % 2 == 0 else second for k in range(n))
+
+
+def test_lines_that_clash_under_polynomials(spark):
+    rows = [(1, thue_morse(2048)), (2, thue_morse(2048, "b", "a")), (3, thue_morse(2048))]
+    assert got(spark, rows) == expected(rows)
+
+
+def test_clashing_hashes_are_drawn_again(spark, monkeypatch):
+    rows = [(k, f"a line of text that has the number {k} and {k * 7919} in it") for k in range(30)]
+    seeds = iter([5, 6, 7])
+    monkeypatch.setattr(line_dedup.secrets, "randbits", lambda _: next(seeds))
+    whole = line_dedup._all_lines
+
+    def clashing(batches, seed):
+        for batch in whole(batches, seed):
+            yield batch.set_column(2, "h", pa.array([k % 3 for k in range(batch.num_rows)], pa.int64())) if seed < 7 else batch
+
+    monkeypatch.setattr(line_dedup, "_all_lines", clashing)
+    assert got(spark, rows) == expected(rows)
+    assert next(seeds, None) is None
+
+
+def test_long_lines_are_compared_like_short_ones():
+    rnd = random.Random(8)
+    pairs = []
+    for _ in range(3000):
+        x = bytes(rnd.choice(b"ab") for _ in range(rnd.randrange(0, 14)))
+        y = bytearray(x)
+        for _ in range(rnd.randrange(0, 5)):
+            at = rnd.randrange(len(y) + 1)
+            y[at : at + rnd.choice([0, 1])] = rnd.choice([b"", b"a", b"b"])
+        pairs.append((x, bytes(y)))
+    for edits in (1, 2, 3):
+        want = [distance(x, y) <= edits for x, y in pairs]
+        assert [line_dedup.within_long(x, y, edits) for x, y in pairs] == want
+        assert line_dedup.verified(pairs, edits).tolist() == want
+    text = bytes(rnd.randrange(32, 127) for _ in range(1_000_000))
+    assert line_dedup.verified([(text, b"?" + text[1:-1] + b"??"), (text, text[::-1])]).tolist() == [False, False]
+    assert line_dedup.verified([(text, b"\x01" + text[:-1]), (text, text)] * 20).all()
