@@ -31,17 +31,17 @@ FROM judged
 # All scores, then the ten best of each query.
 _TOP = """
 WITH rows AS (
-  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+  SELECT vec_id, row_number() OVER () AS r, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  SELECT q.r AS query, q.vec_id AS query_id, c.r AS r, c.vec_id AS vec_id,
          CAST(list_sum([p[1] * p[2] for p in list_zip(q.v, c.v)]) AS BIGINT) AS score
-  FROM rows q JOIN rows c ON q.vec_id <> c.vec_id
+  FROM rows q JOIN rows c ON q.r <> c.r
   WHERE q.vec_id % 100 = 0
 ), ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+  SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id, r) AS INTEGER) AS rank FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
