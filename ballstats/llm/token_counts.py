@@ -19,10 +19,13 @@ from itertools import accumulate
 
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
 from ballstats.llm import common, tokens
 
+# A chunk of one kind of sign only: what is left of it by a cut after its first sign is one chunk as well.
+_RUN = regex.compile(r" ?(?:\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+)")
 MOST_PAIRS = 400_000
 LIMIT = 512
 
@@ -136,6 +139,7 @@ class Prefixes:
 
     def __init__(self, counts: PrefixCounts, text: str, pieces: list[str], tables: list):
         self.own, self.text, self.pieces, self.tables = counts, text, pieces, tables
+        self.runs: dict[int, bool] = {}
 
     def total(self) -> int:
         return sum([table[-1] for table in self.tables])
@@ -153,23 +157,38 @@ class Prefixes:
     def at(self, length: int) -> int:
         """Tokens of the first ``length`` code points.
 
-        A cut changes how the chunk that it falls in is cut, and white space just before it, which is two
-        chunks at most; so chunks are looked up again from two before on.
+        Inside a run of letters, digits or other signs the table has it. Elsewhere a cut changes how the
+        chunk that it falls in is cut, and white space just before it, which is two chunks at most; so
+        those chunks are looked up again from two before on.
         """
         if not 0 <= length <= len(self.text):
             raise ValueError(f"the text has {len(self.text)} code points")
         if length == len(self.text):
             return self.before[-1]
-        k = max(0, bisect_right(self.starts, length) - 3)
+        inside = bisect_right(self.starts, length) - 1
+        if length - self.starts[inside] >= 2 and self.is_run(inside):
+            return self.before[inside] + self.tables[inside][length - self.starts[inside]]
+        k = max(0, inside - 2)
         tail = self.own.split.pieces(self.text[self.starts[k] : length])
         return self.before[k] + sum(t[-1] for t in self.own.tables.of([tail])[0])
 
+    def is_run(self, chunk: int) -> bool:
+        """Whether the chunk keeps its beginning wherever it is cut."""
+        if chunk not in self.runs:
+            piece = self.pieces[chunk]
+            self.runs[chunk] = piece not in self.own.split.added and _RUN.fullmatch(piece) is not None
+        return self.runs[chunk]
+
     def every(self) -> list[int]:
         """Tokens at every prefix, the empty one first."""
         return [self.at(length) for length in range(len(self.text) + 1)]
 
     def fits(self, budget: int) -> int:
-        """Code points of the longest prefix with at most ``budget`` tokens."""
+        """Code points of the longest prefix with at most ``budget`` tokens.
+
+        A cut may give fewer tokens than one before it, so places are tried from the last possible one
+        down; those inside a run cost a look at the table each.
+        """
         n = 0
         for k, table in enumerate(self.tables):
             n += table[-1]

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -111,3 +112,19 @@ def test_sentencepiece(spark):
 def test_empty_tables(spark):
     empty = documents(spark, [])
     assert token_counts.token_counts(empty).count() == sentencepiece_codec.digests(empty).count() == 0
+
+
+def test_budgets_of_long_words(counts):
+    rnd = random.Random(9)
+    word = "".join(rnd.choice("abcdefghijklmnop") for _ in range(300))
+    for text in (word, f"x {word} y", "1" * 200, "?!" * 100, f"'{word}'s 12{word}", "é" * 200, " " * 50 + word):
+        own = counts.indexed(text)
+        every = [len(ids(text[:n])) for n in range(len(text) + 1)]
+        assert own.every() == every
+        for budget in (0, 1, 5, 40, 150, 10**6):
+            assert own.fits(budget) == max(k for k, n in enumerate(every) if n <= budget)
+    begin = time.perf_counter()
+    long = counts.indexed(f"see {''.join(rnd.choice('abcdefghijklmnop') for _ in range(100_000))} there")
+    assert long.own.counts([long.text]) == [len(ids(long.text))]
+    assert len(ids(long.text[: long.fits(512)])) <= 512
+    assert time.perf_counter() - begin < 20
