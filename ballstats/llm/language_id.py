@@ -7,10 +7,11 @@ the same in all languages. A word's likelihood is the forward sum over all its s
 is the product over its words, and with equal priors that gives the languages' posteriors. So that
 they say something for long texts too, likelihoods are tempered to ``WEIGHT`` words at most.
 
-Learning takes at most ``PER_LANGUAGE`` documents of a language, chosen by a hash of the id, and of
-their words the ``MOST_WORDS`` most frequent per language; every document is scored whole.
+Learning takes at most ``PER_LANGUAGE`` documents of a language, chosen by a hash of the id, and all of
+their words; every document is scored whole. Words are runs of letters (``str.isalpha``) of any length;
+those of over ``WORD`` characters are summed one by one, in logarithms.
 
-Edge cases: a null text, or one without a letter, is ``und`` with score 0; so is every text if nothing
+Edge cases: a null text, or one without a letter (number signs are none), is ``und`` with score 0; so is every text if nothing
 could be learned; ties go to the language that comes first by name; documents without ``lang`` or id
 are not learned from; repeated rows are all scored.
 """
@@ -24,6 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,43 +34,64 @@ from pyspark.sql import Window
 from ballstats.llm import common, tokens
 
 PER_LANGUAGE = 500
-MOST_WORDS = 20_000
 ROUNDS = 3
 WEIGHT = 40.0
-#: Longest piece that is looked up, in characters; and what words are cut to.
-PIECE, WORD = 12, 40
+#: Longest word, in characters, that is summed together with others.
+WORD = 40
 #: Words whose likelihoods a worker keeps.
 MOST_KEPT = 250_000
 _UNKNOWN = 1e-7
-_WORDS = re.compile(r"[^\W\d_]+")
+_TOGETHER = 250
+_WORDS, _LETTERS = re.compile(r"[^\W\d_]+"), regex.compile(r"\p{L}+")
 _BLANK = "▁"
 
 
+def words_of(text: str) -> list[str]:
+    """Runs of letters in lower case."""
+    found = _WORDS.findall(text.lower())
+    # Signs like a raised 2 or a Roman numeral are word characters to ``re``, but no letters.
+    return found if "".join(found).isalpha() else [word for run in found for word in _LETTERS.findall(run)]
+
+
 def pieces_of(model: str) -> dict[str, int]:
     """The vocabulary's pieces of letters (after the blank), numbered as they come."""
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(model))
     names = (library.id_to_piece(i) for i in range(library.get_piece_size()))
-    fit = [p for p in names if len(p) <= PIECE and (p.removeprefix(_BLANK).isalpha() or p == _BLANK)]
+    fit = [p for p in names if p.removeprefix(_BLANK).isalpha() or p == _BLANK]
     return {p: k for k, p in enumerate(dict.fromkeys(p.lower() for p in fit))}
 
 
+class Pieces:
+    """The pieces' numbers by beginning: a beginning of a piece that is none itself has -1."""
+
+    def __init__(self, pieces: dict[str, int]):
+        self.number = {p[:k]: -1 for p in pieces for k in range(1, len(p))} | pieces
+        self.longest = max(map(len, pieces), default=1)
+
+    def inside(self, spelled: str) -> list[tuple[int, int, int]]:
+        """All pieces in a word, as (length, end, number)."""
+        found, get = [], self.number.get
+        for start in range(len(spelled)):
+            for end in range(start + 1, min(len(spelled), start + self.longest) + 1):
+                k = get(spelled[start:end])
+                if k is None:  # nor does a longer piece begin so
+                    break
+                if k >= 0:
+                    found.append((end - start, end, k))
+        return found
+
+
 class Lattice:
     """Segmentations of many words at once: piece numbers by (length, end, word); -1 where there is none."""
 
-    def __init__(self, words: list[str], pieces: dict[str, int]):
-        spelled = [_BLANK + word[:WORD] for word in words]
+    def __init__(self, words: list[str], pieces: Pieces):
+        spelled = [_BLANK + word for word in words]
         self.size = np.array([len(s) for s in spelled])
-        most = int(self.size.max(initial=0))
-        longest = min(PIECE, most)
-        self.at = np.full((longest + 1, most + 1, len(words)), -1, np.int32)
-        get = pieces.get
-        for w, s in enumerate(spelled):
-            n = len(s)
-            for end in range(1, n + 1):
-                for start in range(max(0, end - longest), end):
-                    k = get(s[start:end])
-                    if k is not None:
-                        self.at[end - start, end, w] = k
+        found = [pieces.inside(s) for s in spelled]
+        longest = max((length for some in found for length, _, _ in some), default=1)
+        self.at = np.full((longest + 1, int(self.size.max(initial=0)) + 1, len(words)), -1, np.int32)
+        length, end, k = (np.array(x, np.int64) for x in zip(*(x for some in found for x in some), strict=True)) if any(found) else (np.zeros(0, np.int64),) * 3
+        self.at[length, end, np.repeat(np.arange(len(words)), [len(some) for some in found])] = k
 
     def steps(self, p: np.ndarray, end: int) -> list[tuple[int, np.ndarray]]:
         """For pieces of each length that end here: their probabilities (word, language)."""
@@ -112,6 +135,72 @@ class Lattice:
         return counts
 
 
+class Long:
+    """Segmentations of one long word, by the end of their last piece; sums are kept in logarithms."""
+
+    def __init__(self, word: str, pieces: Pieces):
+        spelled = _BLANK + word
+        self.ending: list[list[tuple[int, int]]] = [[] for _ in range(len(spelled) + 1)]
+        for length, end, k in pieces.inside(spelled):
+            self.ending[end].append((length, k))
+
+    def steps(self, logs: np.ndarray, end: int) -> list[tuple[int, int, np.ndarray]]:
+        """(length, piece, logarithms of its probabilities); -1 for a character that is no piece."""
+        found = [(length, k, logs[k]) for length, k in self.ending[end]]
+        if all(length > 1 for length, _, _ in found):
+            found.append((1, -1, np.full(logs.shape[1], np.log(_UNKNOWN))))
+        return found
+
+    def forward(self, logs: np.ndarray) -> np.ndarray:
+        sums = np.zeros((len(self.ending), logs.shape[1]))
+        for end in range(1, len(sums)):
+            sums[end] = np.logaddexp.reduce([sums[end - length] + value for length, _, value in self.steps(logs, end)])
+        return sums
+
+    def likelihood(self, p: np.ndarray) -> np.ndarray:
+        return self.forward(np.log(p))[-1]
+
+    def expected(self, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        logs = np.log(p)
+        forward, counts = self.forward(logs), np.zeros_like(p)
+        backward = np.full_like(forward, -np.inf)
+        backward[-1] = 0.0
+        for end in range(len(forward) - 1, 0, -1):
+            for length, k, value in self.steps(logs, end):
+                start = end - length
+                backward[start] = np.logaddexp(backward[start], backward[end] + value)
+                if k >= 0:
+                    counts[k] += np.exp(forward[start] + value + backward[end] - forward[-1]) * weight
+        return counts
+
+
+def likelihoods(words: list[str], pieces: Pieces, p: np.ndarray) -> np.ndarray:
+    """Logarithm of each word's probability in each language."""
+    out = np.zeros((len(words), p.shape[1]))
+    # Words of like length together, so that little of a lattice is empty.
+    order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    short = [i for i in order if len(words[i]) <= WORD]
+    for j in range(0, len(short), _TOGETHER):
+        some = short[j : j + _TOGETHER]
+        out[some] = Lattice([words[i] for i in some], pieces).likelihood(p)
+    for i in order[len(short) :]:
+        out[i] = Long(words[i], pieces).likelihood(p)
+    return out
+
+
+def expectations(words: list[str], weight: np.ndarray, pieces: Pieces, p: np.ndarray) -> np.ndarray:
+    """Expected counts of pieces, words weighted by ``weight`` (word, language)."""
+    total = np.zeros_like(p)
+    order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    short = [i for i in order if len(words[i]) <= WORD]
+    for j in range(0, len(short), _TOGETHER):
+        some = short[j : j + _TOGETHER]
+        total += Lattice([words[i] for i in some], pieces).expected(p, weight[some])
+    for i in order[len(short) :]:
+        total += Long(words[i], pieces).expected(p, weight[i])
+    return total
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -119,30 +208,20 @@ class Model:
     pieces: dict[str, int]
 
     def __post_init__(self) -> None:
+        self.table = Pieces(self.pieces) if self.languages else None
         self.known = tokens.Kept(self._rows, MOST_KEPT)
 
     def __reduce__(self):
         return Model, (self.languages, self.p, self.pieces)
 
     def _rows(self, words: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
-        for k in range(0, len(words), 2000):
-            # Words of like length together, so that little of the lattice is empty.
-            part = words[k : k + 2000]
-            order = sorted(range(len(part)), key=lambda i: len(part[i]))
-            rows: list[np.ndarray | None] = [None] * len(part)
-            for j in range(0, len(order), 250):
-                some = order[j : j + 250]
-                for i, row in zip(some, Lattice([part[i] for i in some], self.pieces).likelihood(self.p), strict=True):
-                    rows[i] = row
-            out += rows
-        return out
+        return list(likelihoods(words, self.table, self.p))
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         """Language and posterior of each text."""
         if not self.languages:
             return [("und", 0.0)] * len(texts)
-        words = [_WORDS.findall(text.lower()) for text in texts]
+        words = [words_of(text) for text in texts]
         out = []
         for own in self.known.of(words):
             if not own:
@@ -173,9 +252,8 @@ def fit(docs: DataFrame, model: str = "piece_bpe_32k.model", per_language: int =
         for batch in batches:
             total: dict[tuple[str, str], int] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                for word in _WORDS.findall((text or "").lower()):
-                    key = (lang, word[:WORD])
-                    total[key] = total.get(key, 0) + 1
+                for word in words_of(text or ""):
+                    total[lang, word] = total.get((lang, word), 0) + 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.string())]
                 + [pa.array(list(total.values()), pa.int64())],
@@ -183,14 +261,12 @@ def fit(docs: DataFrame, model: str = "piece_bpe_32k.model", per_language: int =
             )
 
     counted = chosen.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    order = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    top = counted.withColumn("rank", order).where(F.col("rank") <= MOST_WORDS)
-    by_word = top.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("n"))
+    by_word = counted.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("n"))
     training = common.stored(by_word, "language-words")
     languages = sorted(row[0] for row in training.select(F.explode(F.map_keys("n"))).distinct().collect())
     if not languages:
         return Model([], np.zeros((len(pieces), 0)), pieces)
-    p = np.full((len(pieces), len(languages)), 1.0 / len(pieces))
+    p, table = np.full((len(pieces), len(languages)), 1.0 / len(pieces)), spark.sparkContext.broadcast(Pieces(pieces))
     for _ in range(rounds):
         spread = spark.sparkContext.broadcast(p)
 
@@ -199,9 +275,8 @@ def fit(docs: DataFrame, model: str = "piece_bpe_32k.model", per_language: int =
             for batch in batches:
                 words = batch.column("word").to_pylist()
                 counts = [dict(x) for x in batch.column("n").to_pylist()]
-                for k in range(0, len(words), 250):
-                    weight = np.array([[c.get(lang, 0) for lang in languages] for c in counts[k : k + 250]], float)
-                    total += Lattice(words[k : k + 250], pieces).expected(spread.value, weight)
+                weight = np.array([[c.get(lang, 0) for lang in languages] for c in counts], float).reshape(-1, len(languages))
+                total += expectations(words, weight, table.value, spread.value)
             at = np.flatnonzero(total.sum(axis=1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(at, pa.int64()), pa.array([row.tolist() for row in total[at]], pa.list_(pa.float64()))], ["piece", "n"]
@@ -214,6 +289,8 @@ def fit(docs: DataFrame, model: str = "piece_bpe_32k.model", per_language: int =
         for row in rows:
             n[row[0]] += row[1:]
         p = n / n.sum(axis=0)
+        spread.destroy()
+    table.destroy()
     return Model(languages, p, pieces)
 
 
