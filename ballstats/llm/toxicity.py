@@ -33,7 +33,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ballstats.llm import common
 
@@ -55,22 +54,27 @@ def nodes_of(word: str) -> list[str]:
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal-scoring segments as (first, one after the last, score), in one pass."""
+    """All maximal-scoring segments as (first, one after the last, score), in linear time.
+
+    Each segment keeps which one before it is the nearest with a lower sum before it: those between
+    cannot be joined with any later one either, so that a search jumps over them.
+    """
     sums = np.concatenate([[0.0], np.cumsum(scores)])
-    found: list[list[float]] = []  # first, end, sum before, sum at the end
     at_positive = np.flatnonzero(scores > 0)
-    for k in at_positive:
-        own = [k, k + 1, sums[k], sums[k + 1]]
+    before, after = sums[at_positive].tolist(), sums[at_positive + 1].tolist()
+    found: list[tuple[int, int, float, float, int]] = []  # first, end, sum before, sum at the end, nearest lower
+    for k, low, high in zip(at_positive.tolist(), before, after, strict=True):
+        first, j = k, len(found) - 1
         while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][2] >= own[2]:
-                j -= 1
-            if j < 0 or found[j][3] >= own[3]:
-                found.append(own)
+            while j >= 0 and found[j][2] >= low:
+                j = found[j][4]
+            if j < 0 or found[j][3] >= high:
                 break
-            own = [found[j][0], own[1], found[j][2], own[3]]
+            first, _, low, _, link = found[j]
             del found[j:]
-    return [(int(a), int(b), float(y - x)) for a, b, x, y in found]
+            j = link
+        found.append((first, k + 1, low, high, j))
+    return [(a, b, y - x) for a, b, x, y, _ in found]
 
 
 @dataclass
@@ -171,8 +175,9 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Da
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     )
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    few = known.withColumn("rank", rank).where(F.col("rank") <= per_class).select("doc_id", "toxic")
+    # A limit in an order is cut in each task before rows are sent on; a rank per label would gather all of a label's.
+    first = lambda toxic: known.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+    few = first(0).union(first(1)).select("doc_id", "toxic")
     # At most 2 * per_class rows of two numbers.
     return common.id_and_text(docs).join(F.broadcast(few), "doc_id").select(
         "text", "toxic", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int").alias("half")
@@ -221,6 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
             )
 
     rows = chosen.mapInArrow(best, "toxic int, n long, segments array<double>").collect()  # bounded by the sample
+    spread.destroy()
     clean = [(max(row["segments"], default=0.0), row["n"]) for row in rows if row["toxic"] == 0 and row["n"]]
     highest = np.array([x for x, _ in clean] or [0.0])
     # Moments of the extreme-value law: spread pi / (lambda sqrt 6), mean (ln(K n) + 0.5772) / lambda.
@@ -269,8 +275,8 @@ def kept(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         own = spread.value
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            yield batch.filter(pa.array([own.score(own.evidence(*own.passages(text or ""))) < 0.5 for text in texts], pa.bool_()))
+        for part in common.parts(batches):
+            texts = part.column("text").to_pylist()
+            yield part.filter(pa.array([own.score(own.evidence(*own.passages(text or ""))) < 0.5 for text in texts], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -105,7 +106,7 @@ def test_forward_sums_are_over_all_segmentations():
     p /= p.sum(axis=0)
     words = ["a", "ab", "babba", "aac", "c"]
     value = lambda piece, k: p[pieces[piece], k] if piece in pieces else (language_id._UNKNOWN if len(piece) == 1 else 0.0)
-    lattice = language_id.Lattice(words, pieces)
+    lattice = language_id.Lattice(words, language_id.Pieces(pieces))
     want = [[math.log(sum(math.prod(value(x, k) for x in way) for way in ways("▁" + w))) for k in range(2)] for w in words]
     assert np.allclose(lattice.likelihood(p), want)
     # Expected counts: of each segmentation its share.
@@ -141,3 +142,41 @@ def test_language_edge_cases(spark):
     assert {row.lang_pred for row in language_id.predicted(docs, nothing).collect()} == {"und"}
     kept = language_id.kept(docs, language_id.fit(docs))
     assert kept.schema == docs.schema and kept.count() == len(ODD) - 3
+
+
+def test_long_words_are_summed_whole(monkeypatch):
+    pieces = language_id.pieces_of("piece_bpe_32k.model")
+    table, rnd = language_id.Pieces(pieces), np.random.default_rng(3)
+    p = rnd.random((len(pieces), 3))
+    p /= p.sum(axis=0)
+    words = ["haus", "straßenbahn", "x", "日本語", "internationalisation" * 2, "ñandú"]
+    weight = rnd.random((len(words), 3))
+    short = language_id.likelihoods(words, table, p), language_id.expectations(words, weight, table, p)
+    monkeypatch.setattr(language_id, "WORD", 0)
+    long = language_id.likelihoods(words, table, p), language_id.expectations(words, weight, table, p)
+    for a, b in zip(short, long, strict=True):
+        assert np.allclose(a, b, rtol=1e-9)
+    twice = language_id.likelihoods(["ab" * 1500, "ab" * 1499 + "xq"], table, p)
+    assert np.isfinite(twice).all() and not np.allclose(twice[0], twice[1])
+
+
+def test_letters_only():
+    assert language_id.words_of("²½ Ⅷ x² a_b 3c ÑÁ l'été") == ["x", "a", "b", "c", "ñá", "l", "été"]
+    assert language_id.words_of("²½ Ⅷ _ 12") == []
+
+
+def test_texts_without_letters(spark):
+    rows = [(k, "das haus und der hund" if k % 2 else "the house and the dog") for k in range(20)] + [(90, "²½ Ⅷ"), (91, "⑦ 三")]
+    docs = spark.createDataFrame([(i, t, "de" if i % 2 else "en") for i, t in rows], "doc_id long, text string, lang string")
+    found = {row.doc_id: row for row in language_id.predicted(docs, language_id.fit(docs.where("doc_id < 90"))).collect()}
+    assert (found[90].lang_pred, found[90].score) == ("und", 0.0)
+    assert found[91].lang_pred in ("de", "en")
+    assert all(found[i].lang_pred == ("de" if i % 2 else "en") for i in range(20))
+
+
+def test_segments_take_linear_time():
+    scores = np.tile([1.0, -0.9], 50_000) + np.arange(100_000) * 1e-7
+    for given in (scores, -scores, scores[::-1], np.where(scores > 0, 1.0, -2.0)):
+        begin = time.perf_counter()
+        toxicity.segments(given)
+        assert time.perf_counter() - begin < 2
