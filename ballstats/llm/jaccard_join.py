@@ -56,6 +56,8 @@ BITS = 1 << 27
 #: Blocks of up to so many sets are joined by all pairs that pivots leave.
 FEW = 24
 CELLS = 256
+#: Least hashes of a set under which it first meets sets that are very like it.
+KEYS = 4
 #: New pivots of a larger block at its first further level; four times as many at each one after.
 PIVOTS = 16
 #: Texts whose shingles are counted together before what is rare among them is left out.
@@ -70,6 +72,12 @@ def _sets(batches: Batches, seed: int) -> Iterator[tuple[list, list[np.ndarray]]
         yield part.column("doc_id").to_pylist(), shingles.shingle_sets(part.column("text").to_pylist(), seed=seed)
 
 
+def least_hashes(items: np.ndarray) -> np.ndarray:
+    """The smallest of a set's shingles in ``KEYS`` orders; two sets share one as likely as they share a shingle."""
+    turned = [shingles.mixed(items ^ np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)).min() for k in range(1, KEYS + 1)]
+    return shingles.mixed(np.array(turned, np.uint64) + np.arange(KEYS, dtype=np.uint64))
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, arrays)])
     values = np.concatenate([*arrays, np.zeros(0, np.uint64)]).astype(np.uint64)
@@ -209,12 +217,27 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select("g").union(pairs.select("p")).distinct()
 
 
-def links(blocks: DataFrame, cells: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def very_like(every: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Components of links between sets that share a least hash, found through one set of each such group.
+
+    They leave out nothing, as all sets are joined afterwards. But blocks in which all sets are in one
+    component by then, as those of copies with small changes are, have no more to tell.
+    """
+    keyed = every.where("g is not null").select("g", F.explode("keys").alias("key"))
+    groups = keyed.groupBy("key").agg(F.min("g").alias("p"), F.max("g").alias("last")).where("p <> last")
+    pairs = keyed.join(groups.select("key", "p"), "key").where("g <> p")
+    pairs = pairs.select(F.least("g", "p").alias("g"), F.greatest("g", "p").alias("p"), F.lit(0.0).alias("d")).distinct()
+    pairs = common.stored(pairs, "jaccard-like")
+    return components(_exact(pairs, sets_of(_ends(pairs)), "very-like").where("linked"), "g", "p")
+
+
+def links(blocks: DataFrame, cells: DataFrame, sets_of: Callable[[DataFrame], DataFrame], labels: DataFrame) -> DataFrame:
     """Components of the sets that links connect: ``node`` and ``label``, for every set with a link.
 
-    ``blocks`` has rows (``b``, ``g``, ``n``, ``at``, ``m``, ``p``, ``np``): block, set, its size and the
-    place of the block's shingle in it, and of the block its number of sets, its pivot, which is its smallest
-    set, and that one's size; ``sets_of`` makes the table of whole sets (``g``, ``items``) for given ones.
+    ``blocks`` has rows (``b``, ``g``, ``n``, ``at``, ``label``, ``m``, ``p``, ``np``): block, set, its size, the
+    place of the block's shingle in it and its component so far, and of the block its number of sets, its
+    pivot, which is its smallest set, and that one's size; ``sets_of`` makes the table of whole sets (``g``,
+    ``items``) for given ones; ``labels`` are components known before.
     """
     col = F.col
     starred = blocks.where("g <> p")
@@ -222,20 +245,23 @@ def links(blocks: DataFrame, cells: DataFrame, sets_of: Callable[[DataFrame], Da
     pivoted = common.stored(_bounded(starred.select(*with_pivot).distinct(), cells), "jaccard-pivoted")
     low_high = [x.alias(name) for x, name in zip(with_pivot[:2], ("low", "high"), strict=True)]
     bounds = pivoted.select(col("g").alias("low"), col("p").alias("high"), "d")
-    placed = starred.select("b", "g", "n", "at", "m", *low_high).join(bounds, ["low", "high"])
+    placed = starred.select("b", "g", "n", "at", "label", "m", *low_high).join(bounds, ["low", "high"])
     placed = common.stored(placed.withColumn("close", col("d") <= RADIUS + _SLACK), "jaccard-placed")
     # In a small block, pairs with a set that is surely beyond the pivot's radius; the rest follows below.
-    few = placed.where(col("m") <= FEW).select("b", "g", "n", "at", "close")
-    other = few.select("b", col("g").alias("h"), col("n").alias("nh"), col("at").alias("ah"), col("close").alias("close_h"))
-    more = few.join(other, "b").where(F.expr("g < h and not (close and close_h)") & _can_share_enough("n", "at", "nh", "ah"))
+    few = placed.where(col("m") <= FEW).select("b", "g", "n", "at", "label", "close")
+    other = [col(name).alias(f"{name}_h") for name in ("n", "at", "label", "close")]
+    beside = few.select("b", col("g").alias("h"), *other)
+    apart = F.expr("g < h and label <> label_h and not (close and close_h)")
+    more = few.join(beside, "b").where(apart & _can_share_enough("n", "at", "n_h", "at_h")).withColumnRenamed("n_h", "nh")
     more = more.select(*_pair(col("g"), col("h"), col("n"), col("nh"))).distinct().join(pivoted, ["g", "p"], "left_anti")
     bounded = common.stored(pivoted.unionByName(_bounded(more, cells)), "jaccard-bounds")
     near_enough = bounded.where(col("d") <= RADIUS + _SLACK)
-    sets = sets_of(_ends(near_enough))
     # Each set with one other first. Of the other pairs, those that no links connect by then are left.
+    near_enough = common.stored(_apart(near_enough, labels).where("not one").drop("one"), "jaccard-near-enough")
+    sets = sets_of(_ends(near_enough))
     first = near_enough.groupBy("p").agg(F.min("g").alias("g")).withColumn("d", F.lit(0.0))
     compared = _exact(first, sets, "first")
-    labels = components(compared.where("linked"), "g", "p")
+    labels = _joined(labels, compared)
     second = _apart(near_enough.join(first.select("g", "p"), ["g", "p"], "left_anti"), labels).where("not one")
     second = _exact(second, sets, "second")
     labels = _joined(labels, second)
@@ -246,6 +272,7 @@ def links(blocks: DataFrame, cells: DataFrame, sets_of: Callable[[DataFrame], Da
     rest = common.stored(rest, "jaccard-rest")
     # d: exact distance to the pivot; where it is unknown, no more than it is for sets beyond, no less for near ones.
     unknown = rest.where("near and exact is null and close").select(col("low").alias("g"), col("high").alias("p"), "d").distinct()
+    sets = _with(sets, _ends(unknown), sets_of)
     third = _exact(unknown, sets, "third").select(col("g").alias("low"), col("p").alias("high"), col("d").alias("later"))
     d = F.coalesce("exact", "later", F.when(col("near"), 1.0).otherwise(col("d")))
     rest = rest.join(third, ["low", "high"], "left").select("b", "g", "n", "at", "low", d.alias("d"), "near")
@@ -269,9 +296,7 @@ def links(blocks: DataFrame, cells: DataFrame, sets_of: Callable[[DataFrame], Da
         pairs = _apart(tried.join(known, ["g", "p"], "left_anti"), labels).where("not one").drop("one")
         pairs = common.stored(pairs, f"jaccard-pairs-{level}")
         close = common.stored(_bounded(pairs, cells).where(col("d") <= RADIUS + _SLACK), f"jaccard-close-{level}")
-        absent = common.stored(_ends(close).join(sets, "g", "left_anti"), f"jaccard-absent-{level}")
-        if not _none_left(absent):
-            sets = sets.union(sets_of(absent))
+        sets = _with(sets, _ends(close), sets_of)
         labels = _joined(labels, _exact(close, sets, f"links-{level}"))
         known = known.union(pairs.select("g", "p"))
         # Pivots are done. A set that links now connect to the block's pivot is near as well.
@@ -283,6 +308,12 @@ def links(blocks: DataFrame, cells: DataFrame, sets_of: Callable[[DataFrame], Da
         level += 1
 
 
+def _with(sets: DataFrame, wanted: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``sets`` and those of ``wanted`` that are not among them."""
+    absent = common.stored(wanted.join(sets, "g", "left_anti"), "jaccard-absent")
+    return sets if _none_left(absent) else sets.union(sets_of(absent))
+
+
 def _joined(labels: DataFrame, compared: DataFrame) -> DataFrame:
     """Components by ``labels`` and the links of ``compared``."""
     links = compared.where("linked").select("g", "p")
@@ -320,30 +351,18 @@ def _grouped(docs: DataFrame, seed: int) -> DataFrame | None:
             n = [len(items) for items in found]
             cells = [cells_of(items) if len(s) else None for items, s in zip(found, some, strict=True)]
             arrays = [pa.array(ids, pa.int64()), *(pa.array([x[k] for x in own], pa.int64()) for k in (0, 1)), pa.array(n, pa.int64())]
-            arrays += [_lists(some), _lists(places), pa.array(cells, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "g", "check", "n", "hits", "places", "cells"])
+            keys = [least_hashes(items) if len(items) else np.zeros(0, np.uint64) for items in found]
+            arrays += [_lists(some), _lists(places), pa.array(cells, pa.binary()), _lists(keys)]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "g", "check", "n", "hits", "places", "cells", "keys"])
 
     every = common.stored(
-        texts.mapInArrow(with_hits, "doc_id long, g long, check long, n long, hits array<long>, places array<long>, cells binary"), "jaccard-documents"
+        texts.mapInArrow(with_hits, "doc_id long, g long, check long, n long, hits array<long>, places array<long>, cells binary, keys array<long>"),
+        "jaccard-documents",
     )
     often.destroy()
     shared.destroy()
     if not _none_left(every.groupBy("g").agg(F.min("check").alias("low"), F.max("check").alias("high")).where("low <> high")):
         return None
-    shingle = F.explode(F.arrays_zip("hits", "places")).alias("x")
-    rows = every.select(shingle, "g", "n").select(F.col("x.hits").alias("s"), "g", "n", F.col("x.places").alias("at")).distinct()
-    rows = common.stored(rows, "jaccard-rows")
-    # Blocks with the same sets, which their hashes, XORed, tell, count once: by the shingle that comes first.
-    described = rows.groupBy("s").agg(
-        F.count("*").alias("m"), F.min(F.struct("g", "n")).alias("p"), F.bit_xor(F.xxhash64("g")).alias("sets"), F.sum("at").alias("places")
-    )
-    chosen = described.where("m > 1").groupBy("m", "p", "sets").agg(F.min(F.struct("places", "s")).alias("first"))
-    chosen = chosen.select("m", "p", F.col("first.s").alias("s"))
-    named = rows.join(chosen, "s").select(F.col("s").alias("b"), "g", "n", "at", "m", F.col("p.g").alias("p"), F.col("p.n").alias("np"))
-    blocks = common.stored(named, "jaccard-blocks")
-    inside = blocks.select("g").distinct()
-    cells = common.stored(every.where("cells is not null").select("g", "cells").join(inside, "g", "left_semi").dropDuplicates(["g"]), "jaccard-cells")
-
     def sets_of(some: DataFrame) -> DataFrame:
         """Read again from one document of each set: bitmaps tell which texts to look at, and which sets to keep."""
         some = common.stored(every.join(some, "g", "left_semi").groupBy("g").agg(F.min("doc_id").alias("doc_id")), "jaccard-wanted")
@@ -365,7 +384,26 @@ def _grouped(docs: DataFrame, seed: int) -> DataFrame | None:
         chosen.destroy()
         return found
 
-    labels = links(blocks, cells, sets_of)
+    labels = very_like(every, sets_of)
+    shingle = F.explode(F.arrays_zip("hits", "places")).alias("x")
+    labelled = every.join(labels.withColumnRenamed("node", "g"), "g", "left").withColumn("label", F.coalesce("label", "g"))
+    rows = labelled.select(shingle, "g", "n", "label").select(
+        F.col("x.hits").alias("s"), "g", "n", F.col("x.places").alias("at"), "label"
+    )
+    # Blocks whose sets are in one component have no more to tell.
+    several = rows.groupBy("s").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    rows = common.stored(rows.join(several.select("s"), "s", "left_semi").distinct(), "jaccard-rows")
+    # Blocks with the same sets, which their hashes, XORed, tell, count once: by the shingle that comes first.
+    described = rows.groupBy("s").agg(
+        F.count("*").alias("m"), F.min(F.struct("g", "n")).alias("p"), F.bit_xor(F.xxhash64("g")).alias("sets"), F.sum("at").alias("places")
+    )
+    chosen = described.groupBy("m", "p", "sets").agg(F.min(F.struct("places", "s")).alias("first"))
+    chosen = chosen.select("m", "p", F.col("first.s").alias("s"))
+    named = rows.join(chosen, "s").select(F.col("s").alias("b"), "g", "n", "at", "label", "m", F.col("p.g").alias("p"), F.col("p.n").alias("np"))
+    blocks = common.stored(named, "jaccard-blocks")
+    inside = blocks.select("g").distinct()
+    cells = common.stored(every.where("cells is not null").select("g", "cells").join(inside, "g", "left_semi").dropDuplicates(["g"]), "jaccard-cells")
+    labels = links(blocks, cells, sets_of, labels)
     named = every.select("doc_id", "n", "g").join(labels.withColumnRenamed("node", "g"), "g", "left")
     named = named.select("doc_id", "n", F.coalesce("label", "g").alias("group"))
     least = named.where(F.col("group").isNotNull()).groupBy("group").agg(F.min("doc_id").alias("component_id"))
