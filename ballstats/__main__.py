@@ -9,11 +9,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ballstats import schemas, session
 from ballstats.functions import parse
-from ballstats.operators import fanout, reconcile
+from ballstats.operators import fanout, outcomes, phases, reconcile, seasons, stats
 from ballstats.plans import batch
 from ballstats.plans.catalog import JOBS, METRICS, STARTING
 from ballstats.sources import files, tables, topics
-from ballstats.streaming import jobs, runner
+from ballstats.streaming import jobs, routed, runner, stateful
+
+
+MODES = ("update", "complete", "routed")
+_MODE_HELP = "keep changed rows (update), whole results (complete), or sums of batches from one query (routed: run_rate only)"
+LIVE = {
+    "milestones": stateful.start_milestones,
+    "top_scorers": stateful.start_top_scorers,
+}
+SUMMARIES = {
+    "player_stats": stats.player_stats,
+    "team_stats": stats.team_stats,
+    "batsmen": lambda df: stats.top_performers(df, "batsmen", 5),
+    "bowlers": lambda df: stats.top_performers(df, "bowlers", 5),
+    "teams": lambda df: stats.top_performers(df, "teams", 8),
+    "phase_economy": phases.phase_economy,
+    "chase_vs_defend": lambda df: outcomes.chase_vs_defend(outcomes.match_outcomes(df)),
+    "season_form": lambda df: seasons.season_form(seasons.season_runs(df)),
+    "batter_consistency": lambda df: seasons.batter_consistency(seasons.season_runs(df)),
+}
 
 
 def _arguments() -> argparse.ArgumentParser:
@@ -26,10 +45,14 @@ def _arguments() -> argparse.ArgumentParser:
             where = added.add_mutually_exclusive_group(required=True)
             where.add_argument("--servers", help="Kafka bootstrap servers")
             where.add_argument("--topics", help="directory with one topic=<name> folder per topic")
+            if name != "produce":
+                added.add_argument("--max-offsets", type=int, help="Kafka messages that a trigger takes in at most")
+                added.add_argument("--max-files", type=int, default=1000, help="files that a trigger takes in at most")
         return added
 
     produce = command("produce", "send the rows of a CSV to all topics", broker=True)
     produce.add_argument("csv")
+    produce.add_argument("--rejected", help="directory for rows with a wrong number of fields, which otherwise are sent as far as they go")
     for name, text in (("land", "land topics in tables"), ("store", "store raw deliveries")):
         added = command(name, text, broker=True)
         added.add_argument("path")
@@ -41,6 +64,17 @@ def _arguments() -> argparse.ArgumentParser:
     stream.add_argument("path")
     stream.add_argument("--once", action="store_true", help="take in what is there, and end")
     stream.add_argument("--console", action="store_true", help="print results instead of storing them")
+    stream.add_argument("--rows", type=int, default=50, help="rows that --console prints of a result")
+    stream.add_argument("--mode", choices=MODES, default="update", help=_MODE_HELP)
+    live = command("live", "tell milestones, or the top scorers of touched innings, as they come", broker=True)
+    live.add_argument("what", choices=LIVE)
+    live.add_argument("path")
+    live.add_argument("--once", action="store_true", help="take in what is there, and end")
+    players = command("players", "compute player, team and season summaries of a CSV")
+    players.add_argument("csv")
+    players.add_argument("what", choices=SUMMARIES)
+    players.add_argument("--out", help="directory to write the result to; shown if left out")
+    players.add_argument("--rows", type=int, default=50, help="rows that are shown")
     run = command("batch", "run the queries of a job over landed tables")
     run.add_argument("job", choices=JOBS)
     source = run.add_mutually_exclusive_group(required=True)
@@ -51,6 +85,8 @@ def _arguments() -> argparse.ArgumentParser:
     compare.add_argument("job", choices=JOBS)
     compare.add_argument("stream_path")
     compare.add_argument("landed")
+    compare.add_argument("--mode", choices=MODES, default="update", help="the one given to 'stream'")
+    compare.add_argument("--differences", action="store_true", help="show the keys that differ, too")
     return parser
 
 
@@ -78,15 +114,22 @@ def _batch(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame
 def main(argv: list[str] | None = None) -> None:
     args = _arguments().parse_args(argv)
     spark = session.build(f"ballstats-{args.command}")
+    beside = session.for_streams(spark)
     once = runner.ONCE if getattr(args, "once", False) else None
 
     def messages(*names: str, starting: str = "earliest") -> DataFrame:
         if args.servers:
-            return topics.stream_kafka(spark, args.servers, names, starting=starting)
-        return topics.stream_topic_files(spark, args.topics, names)
+            limits = {"starting": starting, "max_offsets_per_trigger": args.max_offsets}
+            return topics.stream_kafka(beside, args.servers, names, **limits)
+        return topics.stream_topic_files(beside, args.topics, names, args.max_files)
 
     if args.command == "produce":
-        sent = fanout.fan_out(files.read_csv(spark, args.csv))
+        if args.rejected:
+            good, bad = files.split_csv(spark, args.csv)
+            bad.write.mode("append").parquet(args.rejected)
+        else:
+            good = files.read_csv(spark, args.csv)
+        sent = fanout.fan_out(good)
         if args.servers:
             topics.write_kafka(sent, args.servers)
         else:
@@ -102,14 +145,24 @@ def main(argv: list[str] | None = None) -> None:
         runner.start_store(messages(schemas.RAW_TOPIC), args.path, once).awaitTermination()
     elif args.command == "stream":
         starting = STARTING[args.job]
-        running = jobs.start_job(
-            lambda topic: messages(topic, starting=starting), args.job, args.path, once, args.console
-        )
+        given = lambda topic: messages(topic, starting=starting)
+        if args.console:
+            running = jobs.start_job(given, args.job, args.path, once, rows=args.rows)
+        else:
+            running = jobs.start_job(given, args.job, args.path, once, mode=args.mode)
         if once:
             for query in running:
                 query.awaitTermination()
         else:
-            runner.wait_for_any(spark)
+            runner.wait_for_any(beside)
+    elif args.command == "live":
+        LIVE[args.what](runner.decoded(messages("runs"), "runs"), args.path, once).awaitTermination()
+    elif args.command == "players":
+        result = SUMMARIES[args.what](parse.typed(files.split_csv(spark, args.csv)[0]))
+        if args.out:
+            result.write.mode("overwrite").parquet(args.out)
+        else:
+            result.show(args.rows, truncate=False)
     elif args.command == "batch":
         for name, result in _batch(spark, args).items():
             if args.out:
@@ -120,11 +173,15 @@ def main(argv: list[str] | None = None) -> None:
     else:
         pairs = {}
         for name, result in _batch(spark, args).items():
-            mode = "complete" if METRICS[name].keys else "append"
-            pairs[name] = (result, runner.read_metric(spark, METRICS[name], f"{args.stream_path}/{name}", mode))
+            pairs[name] = (result, jobs.read_job(spark, args.job, name, args.stream_path, args.mode))
         details = batch.stored(reconcile.report(pairs), "report")
         details.show(truncate=False)
         reconcile.summary(details).show(truncate=False)
+        if args.differences:
+            for name, both in pairs.items():
+                ours, theirs = (batch.stored(result, name) for result in both)
+                print(f"=== {name}: keys that differ ===")
+                reconcile.difference(ours, theirs, METRICS[name].keys or tuple(ours.columns)).show(50, truncate=False)
 
 
 if __name__ == "__main__":

@@ -10,7 +10,7 @@ from ballstats.functions import parse
 from ballstats.operators import fanout, landing
 from ballstats.plans.catalog import JOBS, METRICS
 from ballstats.sources import topics
-from ballstats.streaming import jobs, runner, sinks
+from ballstats.streaming import jobs, runner, sinks, stateful
 from tests.helpers import FIELDS, deliveries, message, messages, plan, rows
 
 NAMES = [*dict.fromkeys(name for names in JOBS.values() for name in names), "player_runs_upsert", "player_wickets_upsert"]
@@ -222,7 +222,7 @@ def test_live_queries_until_one_ends(spark, published, tmp_path):
         for query in running:
             query.stop()
         spark.streams.resetTerminated()
-    got = runner.read_metric(spark, METRICS["dismissal_types"], f"{tmp_path}/dismissal_types")
+    got = jobs.read_job(spark, "bowling", "dismissal_types", str(tmp_path))
     assert rows(got) == rows(METRICS["dismissal_types"].batch(typed))
 
 
@@ -238,7 +238,27 @@ def test_application(spark, tmp_path, capsys):
     app.main(["stream", "--topics", inbox, "run_rate", live, "--once"])
     app.main(["batch", "run_rate", "--landed", landed, "--out", str(tmp_path / "out")])
     app.main(["batch", "match_scorers", "--landed", landed])
-    app.main(["compare", "run_rate", live, landed])
+    app.main(["compare", "run_rate", live, landed, "--differences"])
     out = capsys.readouterr().out
-    assert "100.0" in out
+    assert "100.0" in out and "run_rate_team: keys that differ" in out
     assert rows(spark.read.parquet(str(tmp_path / "out" / "run_rate_team"))) == [("A", 5, 2, 15.0)]
+
+
+def test_application_live_and_routed(spark, tmp_path, capsys):
+    csv = tmp_path / "d.csv"
+    lines = [",".join(FIELDS), *(",".join({**FIELDS, "striker": s, "runs_of_bat": r}.values()) for s, r in (("a", "52"), ("b", "4"))), "M1,short"]
+    csv.write_text("\n".join(lines) + "\n")
+    inbox, routed_path, bad = (str(tmp_path / name) for name in ("topics", "routed", "bad"))
+    app.main(["produce", "--topics", inbox, str(csv), "--rejected", bad])
+    assert [r.value for r in spark.read.parquet(bad).collect()] == ["M1,short"]
+    app.main(["stream", "--topics", inbox, "run_rate", routed_path, "--once", "--mode", "routed", "--max-files", "1"])
+    assert rows(jobs.read_job(spark, "run_rate", "run_rate_team", routed_path, "routed")) == [("A", 56, 2, 168.0)]
+    with pytest.raises(ValueError, match="bowling"):
+        jobs.start_job(lambda topic: None, "bowling", routed_path, mode="routed")
+    for what, read in (("milestones", stateful.read_milestones), ("top_scorers", stateful.read_top_scorers)):
+        app.main(["live", "--topics", inbox, what, str(tmp_path / what), "--once"])
+        assert [r.striker for r in read(spark, str(tmp_path / what)).collect()] == ["a"]
+    app.main(["players", str(csv), "batsmen", "--rows", "1"])
+    app.main(["players", str(csv), "phase_economy", "--out", str(tmp_path / "phases")])
+    assert "only showing top 1 row" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "phases")).count() == 1
