@@ -41,7 +41,8 @@ WORD = 40
 #: Words whose likelihoods a worker keeps.
 MOST_KEPT = 250_000
 _UNKNOWN = 1e-7
-_TOGETHER = 250
+_TOGETHER = 1000
+_TURN = np.uint64(0x9E3779B97F4A7C15)
 _WORDS, _LETTERS = re.compile(r"[^\W\d_]+"), regex.compile(r"\p{L}+")
 _BLANK = "▁"
 
@@ -62,23 +63,50 @@ def pieces_of(model: str) -> dict[str, int]:
 
 
 class Pieces:
-    """The pieces' numbers by beginning: a beginning of a piece that is none itself has -1."""
+    """The pieces by length, found in many words at once.
+
+    Substrings of a length are looked up by a hash that runs over the characters of all words; what is
+    found is compared with the piece's characters.
+    """
 
     def __init__(self, pieces: dict[str, int]):
-        self.number = {p[:k]: -1 for p in pieces for k in range(1, len(p))} | pieces
         self.longest = max(map(len, pieces), default=1)
-
-    def inside(self, spelled: str) -> list[tuple[int, int, int]]:
-        """All pieces in a word, as (length, end, number)."""
-        found, get = [], self.number.get
-        for start in range(len(spelled)):
-            for end in range(start + 1, min(len(spelled), start + self.longest) + 1):
-                k = get(spelled[start:end])
-                if k is None:  # nor does a longer piece begin so
-                    break
-                if k >= 0:
-                    found.append((end - start, end, k))
-        return found
+        self.of_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for length in sorted({len(p) for p in pieces}):
+            own = [p for p in pieces if len(p) == length]
+            codes = self._codes(own, length)
+            hashes = np.zeros(len(own), np.uint64)
+            for k in range(length):
+                hashes = hashes * _TURN + codes[:, k]
+            order = np.argsort(hashes, kind="stable")
+            if (np.diff(hashes[order]) == 0).any():
+                raise ValueError("two pieces have one hash")
+            self.of_length[length] = hashes[order], codes[order], np.array([pieces[own[k]] for k in order], np.int32)
+
+    @staticmethod
+    def _codes(words: list[str], most: int) -> np.ndarray:
+        """Code points and one, by (word, place); 1 after a word's end."""
+        return np.array(words, f"U{max(most, 1)}").view(np.uint32).reshape(len(words), max(most, 1)).astype(np.uint64) + np.uint64(1)
+
+    def inside(self, spelled: list[str]) -> np.ndarray:
+        """Piece numbers by (length, end, word); -1 where there is none."""
+        most = max(map(len, spelled), default=0)
+        longest = min(self.longest, most)
+        at = np.full((longest + 1, most + 1, len(spelled)), -1, np.int32)
+        if not most:
+            return at
+        codes = self._codes(spelled, most)
+        running = np.zeros(codes.shape, np.uint64)
+        for length in range(1, longest + 1):
+            running = running[:, : most - length + 1] * _TURN + codes[:, length - 1 :]
+            if length in self.of_length:
+                hashes, known, number = self.of_length[length]
+                place = np.minimum(np.searchsorted(hashes, running), len(hashes) - 1)
+                word, start = np.nonzero(hashes[place] == running)
+                piece = place[word, start]
+                same = (codes[word[:, None], start[:, None] + np.arange(length)] == known[piece]).all(1)
+                at[length, start[same] + length, word[same]] = number[piece[same]]
+        return at
 
 
 class Lattice:
@@ -86,18 +114,16 @@ class Lattice:
 
     def __init__(self, words: list[str], pieces: Pieces):
         spelled = [_BLANK + word for word in words]
-        self.size = np.array([len(s) for s in spelled])
-        found = [pieces.inside(s) for s in spelled]
-        longest = max((length for some in found for length, _, _ in some), default=1)
-        self.at = np.full((longest + 1, int(self.size.max(initial=0)) + 1, len(words)), -1, np.int32)
-        length, end, k = (np.array(x, np.int64) for x in zip(*(x for some in found for x in some), strict=True)) if any(found) else (np.zeros(0, np.int64),) * 3
-        self.at[length, end, np.repeat(np.arange(len(words)), [len(some) for some in found])] = k
+        self.size = np.array([len(s) for s in spelled], int)
+        self.at = pieces.inside(spelled)
 
     def steps(self, p: np.ndarray, end: int) -> list[tuple[int, np.ndarray]]:
         """For pieces of each length that end here: their probabilities (word, language)."""
         out = []
         for length in range(1, min(len(self.at) - 1, end) + 1):
             k = self.at[length, end]
+            if length > 1 and k.max() < 0:
+                continue
             value = np.where((k >= 0)[:, None], p[k], _UNKNOWN if length == 1 else 0.0)
             out.append((length, value))
         return out
@@ -141,8 +167,9 @@ class Long:
     def __init__(self, word: str, pieces: Pieces):
         spelled = _BLANK + word
         self.ending: list[list[tuple[int, int]]] = [[] for _ in range(len(spelled) + 1)]
-        for length, end, k in pieces.inside(spelled):
-            self.ending[end].append((length, k))
+        at = pieces.inside([spelled])[:, :, 0]
+        for length, end in zip(*np.nonzero(at >= 0), strict=True):
+            self.ending[end].append((int(length), int(at[length, end])))
 
     def steps(self, logs: np.ndarray, end: int) -> list[tuple[int, int, np.ndarray]]:
         """(length, piece, logarithms of its probabilities); -1 for a character that is no piece."""
