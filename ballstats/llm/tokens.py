@@ -12,6 +12,7 @@ import re
 from array import array
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import filterfalse
 from typing import TypeVar
 
 from tokenizers import Tokenizer
@@ -47,10 +48,11 @@ class Kept(dict):
         self.compute, self.most = compute, most
 
     def of(self, lists: list[list[str]]) -> list[list[V]]:
-        missing = [x for x in set().union(*lists) if x not in self]
+        every = set().union(*lists)
+        missing = list(filterfalse(self.__contains__, every))
         if len(self) + len(missing) > self.most:
             self.clear()
-            missing = list(set().union(*lists))
+            missing = list(every)
         self.update(zip(missing, self.compute(missing), strict=True))
         return [list(map(self.__getitem__, found)) for found in lists]
 
@@ -92,6 +94,8 @@ class Vocabulary:
         for piece in pieces:
             if piece in self.added:
                 ids = [self.added[piece]["id"]]
+            elif piece.isascii() and piece.isprintable():  # of these, only the blank has another sign
+                ids = [token.id for token in self.model.tokenize(piece.replace(" ", SIGNS[32]))]
             else:
                 ids = [token.id for token in self.model.tokenize(piece.encode().decode("latin-1").translate(SIGNS))]
             out.append(array("I", ids).tobytes())
