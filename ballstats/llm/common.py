@@ -67,3 +67,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = session.fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove tables of :func:`stored` that nothing reads any more, so that disk holds only what is in use."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles() if "/ballstats/" in file}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -28,6 +28,8 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
             "node", F.least("next", "further").alias("label"), (F.least("next", "further") < F.col("label")).alias("moved")
         )
         fresh = common.stored(fresh, "labels")
+        common.dropped(labels)
         labels = fresh.select("node", "label")
         if not fresh.where("moved").limit(1).count():
+            common.dropped(both)
             return labels

@@ -197,7 +197,9 @@ def _exact(bounded: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     sizes = both.select("g", "p", shared.alias("shared"), (F.size("own") + F.size("other")).alias("both"))
     union = F.col("both") - F.col("shared")
     compared = sizes.select("g", "p", (1.0 - F.col("shared") / union).alias("d"), (F.col("shared") * PER >= union * LEAST).alias("linked"))
-    return common.stored(compared, f"jaccard-{name}")
+    compared = common.stored(compared, f"jaccard-{name}")
+    common.dropped(pairs)
+    return compared
 
 
 def _none_left(df: DataFrame) -> bool:
@@ -228,7 +230,11 @@ def very_like(every: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> Da
     pairs = keyed.join(groups.select("key", "p"), "key").where("g <> p")
     pairs = pairs.select(F.least("g", "p").alias("g"), F.greatest("g", "p").alias("p"), F.lit(0.0).alias("d")).distinct()
     pairs = common.stored(pairs, "jaccard-like")
-    return components(_exact(pairs, sets_of(_ends(pairs)), "very-like").where("linked"), "g", "p")
+    sets = sets_of(_ends(pairs))
+    compared = _exact(pairs, sets, "very-like")
+    found = components(compared.where("linked"), "g", "p")
+    common.dropped(pairs, sets, compared)
+    return found
 
 
 def links(blocks: DataFrame, cells: DataFrame, sets_of: Callable[[DataFrame], DataFrame], labels: DataFrame) -> DataFrame:
@@ -380,6 +386,7 @@ def _grouped(docs: DataFrame, seed: int) -> DataFrame | None:
 
         found = texts.mapInArrow(whole_sets, "g long, items array<long>").join(some.select("g"), "g", "left_semi")
         found = common.stored(found.dropDuplicates(["g"]), "jaccard-sets")
+        common.dropped(some)
         wanted.destroy()
         chosen.destroy()
         return found
@@ -401,6 +408,7 @@ def _grouped(docs: DataFrame, seed: int) -> DataFrame | None:
     chosen = chosen.select("m", "p", F.col("first.s").alias("s"))
     named = rows.join(chosen, "s").select(F.col("s").alias("b"), "g", "n", "at", "label", "m", F.col("p.g").alias("p"), F.col("p.n").alias("np"))
     blocks = common.stored(named, "jaccard-blocks")
+    common.dropped(rows)
     inside = blocks.select("g").distinct()
     cells = common.stored(every.where("cells is not null").select("g", "cells").join(inside, "g", "left_semi").dropDuplicates(["g"]), "jaccard-cells")
     labels = links(blocks, cells, sets_of, labels)

@@ -250,12 +250,14 @@ def candidates(texts: DataFrame, lines: DataFrame, seed: int) -> DataFrame:
     same = (F.col("l.key") == F.col("r.key")) & _alike()
     within_index = index.alias("l").join(index.alias("r"), same & (F.col("l.h") < F.col("r.h"))).select(*pair("l.h", "r.h"))
     across = probes.alias("l").join(index.alias("r"), same & (F.col("l.h") != F.col("r.h"))).select(*pair("l.h", "r.h"))
-    return single.union(within_index).union(across).distinct()
+    pairs = common.stored(single.union(within_index).union(across).distinct(), "line-candidates")
+    common.dropped(keyed, rows)
+    return pairs
 
 
 def links(texts: DataFrame, lines: DataFrame, seed: int) -> DataFrame:
     """Pairs of line hashes (``a`` < ``b``) of lines within the edits; equal lines are one hash."""
-    pairs = common.stored(candidates(texts, lines, seed), "line-candidates")
+    pairs = candidates(texts, lines, seed)
     ends = pairs.select(F.col("a").alias("h")).union(pairs.select("b"))
     wanted = texts.sparkSession.sparkContext.broadcast(bitmap(ends, "h"))
 
@@ -276,7 +278,10 @@ def links(texts: DataFrame, lines: DataFrame, seed: int) -> DataFrame:
                 both = list(zip(part.column("x").to_pylist(), part.column("y").to_pylist(), strict=True))
                 yield part.filter(pa.array(verified(both))).select(["a", "b"])
 
-    return common.stored(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "line-links")
+    verified_pairs = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
+    found = common.stored(verified_pairs, "line-links")
+    common.dropped(pairs, known)
+    return found
 
 
 def classed(docs: DataFrame) -> DataFrame:
