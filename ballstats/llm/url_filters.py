@@ -1,7 +1,7 @@
 """Judging URLs by host and path rules, by lookups of expressions in a hashed list.
 
-Each URL is expanded into expressions: every suffix of its host that begins at a label, with every
-prefix of its path that is as long as some rule's path. The first ``PREFIX`` hex digits of an
+Each URL is expanded into expressions: every suffix of its host that has as many labels as some rule's
+host, with every prefix of its path that is as long as some rule's path. The first ``PREFIX`` hex digits of an
 expression's SHA-256 are joined with those of the rules; matches are confirmed by full digests. Of
 several rules that fit, the longest wins; of equally long ones the one with the longer host, then
 ``block``. All of it is DataFrame functions.
@@ -34,7 +34,13 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]] | None = None) -> DataFrame:
-    return spark.createDataFrame(RULES if rules is None else rules, "host string, path string, verdict string")
+    """The rules as a table of literals."""
+    rules = RULES if rules is None else rules
+    names = ("host", "path", "verdict")
+    rows = [F.struct(*[F.lit(x).cast("string").alias(name) for x, name in zip(rule, names, strict=True)]) for rule in rules]
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast("string").alias(name) for name in names])
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -50,12 +56,15 @@ def _digest(host: Column, path: Column) -> Column:
     return F.sha2(F.concat(host, F.lit("\n"), path), 256)
 
 
-def _expressions(host: Column, path: Column, lengths: list[int]) -> Column:
+def _labels(host: Column) -> Column:
+    """How many labels a host has."""
+    return F.length(host) - F.length(F.translate(host, ".", "")) + 1
+
+
+def _expressions(host: Column, path: Column, labels: list[int], lengths: list[int]) -> Column:
     """Digests of all pairs of a host suffix and a path prefix."""
-    labels = F.split(host, r"\.", -1)
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), ".")
-    )
+    ends = F.array(*[F.when(_labels(host) >= n, F.substring_index(host, ".", -n)) for n in labels])
+    suffixes = F.filter(ends, lambda s: s.isNotNull())
     prefixes = F.transform(
         F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length(path)), lambda n: F.substring(path, F.lit(1), n)
     )
@@ -71,14 +80,15 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFr
         .select(F.concat("h", "p").alias("rule"), F.length("h").alias("h"), "verdict", _digest(F.col("h"), F.col("p")).alias("digest"))
         .withColumn("short", F.substring("digest", 1, PREFIX))
     )
-    # No more values than the longest path of a rule has characters.
-    lengths = sorted(row[0] for row in usable.select(F.length("path")).distinct().collect())
+    # No more values than the longest path of a rule has characters, and the longest host labels.
+    bounds = usable.agg(F.collect_set(F.length("path")).alias("lengths"), F.collect_set(_labels(F.col("host"))).alias("labels"))
+    lengths, labels = (sorted(found) for found in bounds.first())
     host, path = host_and_path(F.col("url").cast("string"))
     split = pages.select("page_id", host.alias("host"), path.alias("path"))
     if not lengths:
         return split.select("*", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     expanded = split.select("host", "path").where("host != ''").distinct().select(
-        "host", "path", F.explode(_expressions(F.col("host"), F.col("path"), lengths)).alias("found")
+        "host", "path", F.explode(_expressions(F.col("host"), F.col("path"), labels, lengths)).alias("found")
     )
     fits = expanded.withColumn("short", F.substring("found", 1, PREFIX)).join(hashed, "short")
     order = F.struct(F.length("rule"), F.col("h"), F.col("verdict"), F.col("rule"))

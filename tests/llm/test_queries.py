@@ -1,5 +1,7 @@
 """The registered text queries against their SQL, and the pipeline against brute force."""
 
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -21,6 +23,21 @@ def test_one_query_per_operator():
     assert sorted(int(name[2:].split("_")[0]) for name in names - {"pipeline"}) == list(range(1, 14))
 
 
+# Queries that SQL cannot express, and the tests that hold their operators against brute force.
+WITHOUT_SQL = {
+    "op1_fingerprints": "test_fingerprints", "op2_packing": "test_tokens", "op3_line_dedup": "test_line_dedup",
+    "op5_token_counts": "test_tokens", "op6_language_id": "test_scoring", "op7_sentencepiece": "test_tokens",
+    "op9_toxicity": "test_scoring", "op11_fill_in_middle": "test_fill_in_middle", "op12_whitening": "test_whitening",
+    "op13_vector_dedup": "test_vector_dedup", "pipeline": "test_queries",
+}
+
+
+def test_every_query_is_held_against_something():
+    assert {*oracles.ORACLES, *WITHOUT_SQL} == entry.text_query_names()
+    folder = Path(__file__).parent
+    assert all((folder / f"{name}.py").exists() for name in WITHOUT_SQL.values())
+
+
 @pytest.mark.parametrize("name", oracles.ORACLES)
 def test_query(spark, name):
     con = duckdb.connect()

@@ -48,3 +48,9 @@ def test_no_python_in_the_plan(spark):
     pages = spark.createDataFrame([(1, "http://a.com/de/")], "page_id long, url string")
     plan = url_filters.judged(pages, url_filters.rule_table(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_long_hosts(spark):
+    many = ".".join(["a"] * 12_000)
+    check(spark, [f"http://{many}.example.org/es/", f"http://{many}/x", "http://..org/", "http://./", "http://org./"], url_filters.RULES)
+    check(spark, ["http://x.a.b.c/d", "http://b.c/d", "http://a.b.c/"], [("a.b.c", "/", "block"), ("c", "/d", "allow"), (".c", "/", "block")])
