@@ -53,11 +53,17 @@ def _on_typed(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(_typed(spark, sf_dir))
 
 
+def _message_stream(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    """The topic written out as messages and read back as a stream of several micro-batches."""
+    path = session.fresh_path(spark, f"topic-{topic}")
+    topics.write_topic_files(fanout.topic_messages(_spread(spark, sf_dir), topic), path)
+    return topics.stream_topic_files(session.for_streams(spark), path, [topic], FILES_PER_TRIGGER)
+
+
 def _start(spark: SparkSession, sf_dir: str, name: str, mode: str):
-    """A metric over the messages made of the delivery stream; returns the query and its path."""
+    """A metric over the messages of its topic, in several micro-batches; returns the query and its path."""
     metric, path = METRICS[name], session.fresh_path(spark, name)
-    deliveries = fixture.deliveries(fixture.lineitem_stream(session.for_streams(spark), sf_dir))
-    decoded = runner.decoded(fanout.topic_messages(deliveries, metric.topic), metric.topic)
+    decoded = runner.decoded(_message_stream(spark, sf_dir, metric.topic), metric.topic)
     return runner.start_metric(decoded, metric, path, mode, runner.ONCE), path
 
 
@@ -70,23 +76,6 @@ def _streamed(name: str, mode: str = "complete") -> Query:
     return query
 
 
-def _message_stream(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
-    """The topic written out as messages and read back as a stream of several micro-batches."""
-    path = session.fresh_path(spark, f"topic-{topic}")
-    topics.write_topic_files(fanout.topic_messages(_spread(spark, sf_dir), topic), path)
-    return topics.stream_topic_files(session.for_streams(spark), path, [topic], FILES_PER_TRIGGER)
-
-
-def _upserted(name: str) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        metric, path = METRICS[name], session.fresh_path(spark, name)
-        deliveries = runner.decoded(_message_stream(spark, sf_dir, metric.topic), metric.topic)
-        runner.finish(runner.start_metric(deliveries, metric, path, "update", runner.ONCE))
-        return runner.read_metric(spark, metric, path, "update")
-
-    return query
-
-
 # What comes in before a live query is stopped and started again.
 FIRST_SEASONS, LATER_SEASONS = "season < 2022", "season >= 2022"
 
@@ -292,7 +281,7 @@ def queries() -> dict[str, Query]:
         **{f"routed_{name}": _routed_metric(name) for name in rates},
         "reconcile_diff": reconcile_diff,
         "reconcile_incomplete": reconcile_incomplete,
-        **{f"stream_{name}": _upserted(name) for name in ("batter_consistency", "season_form")},
+        **{f"stream_{name}": _streamed(name, "update") for name in ("batter_consistency", "season_form")},
         "phase_economy": _on_typed(phases.phase_economy),
         "match_outcomes": _on_typed(outcomes.match_outcomes),
         "chase_vs_defend": _on_typed(lambda df: outcomes.chase_vs_defend(outcomes.match_outcomes(df))),
@@ -300,7 +289,7 @@ def queries() -> dict[str, Query]:
         "csv_faults": csv_faults,
         **{f"stream_{name}": _streamed(name) for name in _STREAMED},
         "stream_caught_dismissals": _streamed("caught_dismissals", "append"),
-        **{name: _upserted(name) for name in upserts},
+        **{name: _streamed(name, "update") for name in upserts},
         **{f"land_{topic}": _landed(topic) for topic in ("runs", "rate", "bowler")},
         "typed_deliveries": typed_deliveries,
         "wicket_flag": _on_typed(metrics.wicket_flags),
