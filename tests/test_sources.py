@@ -1,3 +1,4 @@
+import pyarrow.parquet as pq
 import pytest
 
 from ballstats import session
@@ -55,6 +56,15 @@ def test_topic_files(spark, tmp_path):
     )
 
 
+def test_a_topic_file_can_be_read_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "topics")
+    sent = spark.range(0, 60_000, 1, 1).selectExpr("'runs' as topic", "concat(sha2(cast(id as string), 256), id) as value")
+    topics.write_topic_files(sent, path)
+    (file,) = (tmp_path / "topics" / "topic=runs").glob("*.parquet")
+    assert pq.ParquetFile(file).metadata.num_row_groups > 1
+    assert rows(topics.read_topic_files(spark, path, ["runs"])) == rows(sent)
+
+
 def test_spread_leaves_large_inputs_alone(spark):
     cores = spark.sparkContext.defaultParallelism
     assert files.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
