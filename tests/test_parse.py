@@ -1,10 +1,12 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from ballstats import schemas
 from ballstats.functions import parse, wickets
 from ballstats.operators import fanout, landing, metrics
+from ballstats.streaming import routed
 from tests.helpers import FIELDS, deliveries, message, messages, plan, rows
 
 
@@ -149,6 +151,20 @@ def test_validation(spark):
     ]
 
 
+@pytest.mark.parametrize("step", [landing.route, routed.routed])
+def test_code_of_checked_messages_is_short_enough_to_be_compiled(spark, tmp_path, step):
+    """The JVM interprets methods of more than 8000 bytes for ever."""
+    path = str(tmp_path / "m")
+    messages(spark, message("rate")).write.parquet(path)
+    static = spark.newSession()
+    static.conf.set("spark.sql.adaptive.enabled", "false")
+    checked = static.read.parquet(path)
+    checked = checked if step is landing.route else parse.checked(checked)
+    codes = step(checked)._jdf.queryExecution().debug().codegenToSeq()
+    sizes = [codes.apply(k)._3().maxMethodCodeSize() for k in range(codes.size())]
+    assert 0 < max(sizes) < 8000, sizes
+
+
 def test_presence(spark):
     df = spark.createDataFrame([(None,), ("",), ("x",)], "c string")
     assert [row[0] for row in df.select(wickets.present("c")).collect()] == [False, False, True]
