@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 
 from ballstats.llm import line_dedup
@@ -133,3 +134,21 @@ def test_long_lines_are_compared_like_short_ones():
     text = bytes(rnd.randrange(32, 127) for _ in range(1_000_000))
     assert line_dedup.verified([(text, b"?" + text[1:-1] + b"??"), (text, text[::-1])]).tolist() == [False, False]
     assert line_dedup.verified([(text, b"\x01" + text[:-1]), (text, text)] * 20).all()
+
+
+def test_filters_let_few_other_keys_through_as_they_fill(spark):
+    """Eight times the keys: of one bit per key a filter of 2^16 bits would let 15 times as many through, or a tenth."""
+    rng = np.random.default_rng(5)
+    other = rng.integers(-(2**63), 2**63 - 1, 100_000).reshape(-1, 4)
+    share = []
+    for n in (1000, 8000):
+        keys = rng.integers(-(2**63), 2**63 - 1, n)
+        places = line_dedup.places_for(n, 1 << 16)
+        known = line_dedup.bloom(spark.createDataFrame([(int(k),) for k in keys], "key long"), places, 1 << 16)
+        assert len(line_dedup.met(keys, known, places)[0]) == n
+        at, which = line_dedup.met(other, known, places)
+        assert len(at) == len(which)
+        share.append(len(at) / other.size)
+    assert share[1] < 0.04
+    # Overfull, one place is best.
+    assert line_dedup.places_for(1 << 17, 1 << 16) == (0,)
