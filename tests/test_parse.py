@@ -168,3 +168,27 @@ def test_code_of_checked_messages_is_short_enough_to_be_compiled(spark, tmp_path
 def test_presence(spark):
     df = spark.createDataFrame([(None,), ("",), ("x",)], "c string")
     assert [row[0] for row in df.select(wickets.present("c")).collect()] == [False, False, True]
+
+
+def test_texts_are_one_object_and_nothing_else(spark):
+    good = [
+        '{"match_id":"M1"}', ' {"match_id":"M1"} \t\r\n', '{"match_id":"M]1"}', '{"match_id":["M1"],"over":"1]"}', "{}", '{"_end":1}',
+        '{"match_id":"M1","over":[]}\n',
+    ]
+    bad = [
+        "", " ", "null", "1", '"{}"', "[]", '[{"match_id":"M1"}]', '{"match_id":"M1"', '{"match_id":"M]1', '{"match_id":"M1"},', ',{"match_id":"M1"}',
+        '{"match_id":"M1"} {"match_id":"M1"}', '{"match_id":"M1"},{"match_id":"M1"}', '{"match_id":"M1"}] x', '{"match_id":"M1"}] {}',
+        '{"match_id":"M1"},{"_end":1}', '{"match_id":"M1"}]', '{"match_id":"]"}]}', '{"match_id":"M1"}x', '{"match_id":"M1"}}', None,
+    ]
+    texts = spark.createDataFrame([(text,) for text in good + bad], "value string")
+    found = texts.select("value", F.size(parse.objects(F.col("value"), ["match_id", "over"])).alias("n")).collect()
+    assert {row.value for row in found if row.n == 1} == set(good)
+    assert {row.value for row in found if row.n == 0} == set(bad)
+
+
+def test_texts_without_brackets_are_parsed_without_a_mark(spark):
+    """Marking costs a hash, a copy and a second object per message."""
+    texts = spark.createDataFrame([('{"match_id":"M1"}',)], "value string")
+    made = plan(texts.select(parse.objects(F.col("value"), ["match_id"])))
+    assert "CASE WHEN Contains(value" in made or "CASE WHEN contains(value" in made
+    assert "EndsWith(" in made or "endswith(" in made
