@@ -149,3 +149,23 @@ def test_clashing_hashes_are_drawn_again(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "shingles", patched)
     assert got(spark, rows) == expected(rows)
     assert next(seeds, None) is None
+
+
+def test_cells_bound_the_distance():
+    rnd = np.random.default_rng(5)
+    for n, m, shared in [(1, 1, 1), (300, 400, 290), (900, 1100, 850), (4000, 4100, 100), (5000, 3800, 3700), (40000, 1000, 900)]:
+        items = np.unique(rnd.integers(0, 2**64, n + m - shared, np.uint64))
+        rnd.shuffle(items)
+        x, y = items[:n], items[n - shared :]
+        low = jaccard_join.cell_distance([jaccard_join.cells_of(x)], [jaccard_join.cells_of(y)])[0]
+        assert 0 <= low <= 1 - shared / (n + m - shared) + 1e-12
+    crowded = jaccard_join.cells_of(np.arange(10**4, dtype=np.uint64))
+    assert jaccard_join.cell_distance([crowded] * 2, [crowded, jaccard_join.cells_of(items)]).tolist() == [0, 0]
+
+
+@pytest.mark.parametrize("size", [100, 500, 2000, 6000])
+def test_unrelated_sets_are_told_apart_by_their_cells(size):
+    """Whatever their size, so that whole sets are not fetched for them."""
+    rnd = np.random.default_rng(size)
+    cells = [jaccard_join.cells_of(np.unique(rnd.integers(0, 2**64, size, np.uint64))) for _ in range(40)]
+    assert jaccard_join.cell_distance(cells[1:], cells[:-1]).min() > jaccard_join.RADIUS
